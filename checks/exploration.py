@@ -165,7 +165,7 @@ SELECT {by}, round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS media
 
 
 def _corr(x, y):
-    return f"SELECT '{x}' AS x, '{y}' AS y, round(corr({x}, {y}), 6) AS correlation FROM eng"
+    return f"SELECT '{x}' AS x, '{y}' AS y, round(nullif(corr({x}, {y}), 'NaN'), 6) AS correlation FROM eng"
 
 
 _LUX, _MASS = "segment = 'Luxury'", "segment = 'Mass Market'"
@@ -333,5 +333,5 @@ SELECT body_type, point, round(any_value(x), 4) AS x,
     "correlation_matrix": B.over_engineered(
         " UNION ALL ".join(_corr(x, y) for x in CORRELATED for y in CORRELATED)),
     "correlation_with_target": B.over_engineered(" UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", round(corr({c}, price), 6) AS correlation FROM eng" for c in TARGETED)),
+        f"SELECT '{c}' AS \"column\", round(nullif(corr({c}, price), 'NaN'), 6) AS correlation FROM eng" for c in TARGETED)),
 }

@@ -102,19 +102,19 @@ def histogram(df: DataFrame, col: str, nbins: int = 50, by: Sequence[str] = ())
     )
 
 
-def box_stats(df: DataFrame, col: str, by: str, k: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, col: str, by: str | Sequence[str], k: float = 1.5) -> DataFrame:
     """Per group: quartiles, whiskers at the furthest value inside the fences, outliers, mean."""
+    by = [by] if isinstance(by, str) else list(by)
     spread = k * (F.col("q3") - F.col("q1"))
     boxes = quantiles(df, col, _BOX, by).select(
-        by, "q1", "median", "q3", (F.col("q1") - spread).alias("_low"),
+        *by, "q1", "median", "q3", (F.col("q1") - spread).alias("_low"),
         (F.col("q3") + spread).alias("_high"),
     )
-    value = known(F.col(col)).alias("_v")
-    rows = df.select(by, value).where(F.col(by).isNotNull() & F.col("_v").isNotNull())
-    inside = (F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high"))
+    rows = df.select(*by, known(F.col(col)).alias("_v")).where(F.col("_v").isNotNull())
+    inside = F.col("_v").between(F.col("_low"), F.col("_high"))
     return (
         lookup_join(rows, boxes, by, "inner")
-        .groupBy(by)
+        .groupBy(*by)
         .agg(
             F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
             F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
