@@ -1,5 +1,5 @@
 """Registered queries over the test tables, each with an independent SQL statement."""
 
-from checks import exploration, preparation
+from checks import exploration, modelling, preparation, scoring
 
-MODULES = (preparation, exploration)
+MODULES = (preparation, exploration, modelling, scoring)

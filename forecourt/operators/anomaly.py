@@ -134,9 +134,9 @@ def fit_isolation_forest(df: DataFrame, trees: int = TREES, sample: int = SAMPLE
 def _packed(nodes: DataFrame) -> dict[str, np.ndarray]:
     """The bounded node table as arrays over all trees, children as global positions."""
     table = nodes.toPandas().sort_values(["tree", "node"], ignore_index=True)
-    start = table.groupby("tree", sort=True)["node"].transform("size").groupby(table["tree"]).first()
-    roots = np.concatenate([[0], np.cumsum(start.to_numpy())[:-1]])
-    base = np.repeat(roots, start.to_numpy())
+    sizes = table.groupby("tree", sort=True).size().to_numpy()
+    roots = np.cumsum(sizes) - sizes
+    base = np.repeat(roots, sizes)
     leaf = table["feature"].to_numpy() == _LEAF
     return {
         "roots": roots.astype(np.int64),

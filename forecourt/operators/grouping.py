@@ -154,8 +154,10 @@ def share_within_group(df: DataFrame, outer: str, inner: str, k_inner: int | Non
         .groupBy(outer, inner)
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    whole = F.sum("count").over(Window.partitionBy(outer))
-    return counts.withColumn("pct", percent(F.col("count"), whole))
+    whole = counts.groupBy(outer).agg(F.sum("count").alias("_whole"))
+    return counts.join(whole, outer).select(
+        outer, inner, "count", percent(F.col("count"), F.col("_whole")).alias("pct")
+    )
 
 
 def reindexed_group_stat(df: DataFrame, by: str = "condition", value: str = "price",

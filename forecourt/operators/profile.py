@@ -51,12 +51,14 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, samples: in
         F.sum("n").alias("non_null"), F.count(F.lit(1)).alias("unique_values")
     )
     # Spark keeps only the first rows of each partition before shuffling a ranked group.
+    # The count travels along so that both branches share one exchange of ``counts``.
     smallest = Window.partitionBy("column").orderBy("value")
+    pairs = F.array_sort(F.collect_list(F.struct("value", "n")))
     shown = (
         counts.withColumn("_rank", F.row_number().over(smallest))
         .where(F.col("_rank") <= samples)
         .groupBy("column")
-        .agg(F.array_join(F.array_sort(F.collect_list("value")), ", ").alias("sample_values"))
+        .agg(F.array_join(F.transform(pairs, lambda p: p["value"]), ", ").alias("sample_values"))
     )
     return (
         names.join(sizes, "column", "left")

@@ -33,10 +33,10 @@ def ols(label: str = LABEL) -> LinearRegression:
 def ridge(train: DataFrame, label: str = LABEL, alpha: float = RIDGE_ALPHA) -> LinearRegression:
     """Penalty ``alpha`` on the summed squared error.
 
-    Spark averages the loss over rows and divides the L2 term by the label's deviation, so
-    the same penalty is ``alpha * sd / n`` there.
+    Spark averages the loss over rows and divides the L2 term by the label's population
+    deviation, so the same penalty is ``alpha * sd / n`` there.
     """
-    n, sd = train.agg(F.count(label), F.stddev_samp(label)).first()
+    n, sd = train.agg(F.count(label), F.stddev_pop(label)).first()
     return LinearRegression(
         labelCol=label, elasticNetParam=0.0, standardization=False, regParam=alpha * (sd or 0.0) / n
     )
@@ -84,13 +84,20 @@ def fit_regressor(train: DataFrame, factory: Callable) -> PipelineModel:
 
 
 def kfold_r2(df: DataFrame, factory: Callable, k: int = 5) -> DataFrame:
-    """Mean and population deviation of R² over ``k`` folds, refitting everything per fold."""
-    marked = df.withColumn("_fold", prep.fold(k))
+    """Mean and population deviation of R² over ``k`` folds, refitting everything per fold.
+
+    Every fold reads the rows several times, so the columns it needs are kept meanwhile.
+    """
+    numeric, categorical = V.feature_columns()
+    marked = df.select(*numeric, *categorical, LABEL, prep.fold(k).alias("_fold")).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
     scores = []
     for i in range(k):
         model = fit_regressor(marked.where(F.col("_fold") != i), factory)
         held_out = model.transform(marked.where(F.col("_fold") == i))
         scores.append((evaluate.r2(held_out, LABEL, "prediction").first()[0],))
+    marked.unpersist()
     table = df.sparkSession.createDataFrame(scores, "r2 double")
     return table.agg(F.avg("r2").alias("cv_mean"), F.stddev_pop("r2").alias("cv_std"))
 

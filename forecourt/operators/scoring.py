@@ -64,13 +64,13 @@ def rate_deal(df: DataFrame, listed: str = "listed_price", predicted: str = "pre
     """Adds the difference to the prediction, in percent too, and the rating it gives."""
     difference = F.col(listed) - F.col(predicted)
     pct = F.when(F.col(predicted) > 0, 100 * difference / F.col(predicted)).otherwise(0.0)
-    rating = F
-    for bound, name in V.DEAL_RATINGS:
-        rating = rating.when(F.col("price_diff_pct") < bound, name)
+    rating = F.lit(V.DEAL_RATING_ABOVE)
+    for bound, name in reversed(V.DEAL_RATINGS):
+        rating = F.when(F.col("price_diff_pct") < bound, name).otherwise(rating)
     return (
         df.withColumn("price_diff", difference)
         .withColumn("price_diff_pct", pct)
-        .withColumn("deal_rating", rating.otherwise(V.DEAL_RATING_ABOVE))
+        .withColumn("deal_rating", rating)
     )
 
 

@@ -11,16 +11,21 @@ from forecourt.operators.quantiles import approximate_quantiles, median
 _SUMS = ("w", "wx", "wy", "wxx", "wxy")
 
 
-def _with_cells(df: DataFrame, x: str, y: str, cells: int) -> DataFrame:
-    """Rows ``(x, y, cell)``: one cell per distinct x if there are few, else equal-depth ones."""
+def _with_cells(df: DataFrame, x: str, y: str, cells: int) -> tuple[DataFrame, float]:
+    """Rows ``(x, y, cell)`` and the mean subtracted from x, which keeps the sums precise.
+
+    There is one cell per distinct x if those are few, else cells of equal depth.
+    """
     rows = df.select(known(F.col(x)).alias("x"), known(F.col(y)).alias("y")).dropna()
-    distinct = rows.agg(F.approx_count_distinct("x", 0.02)).first()[0]
+    distinct, origin = rows.agg(F.approx_count_distinct("x", 0.02), F.avg("x")).first()
+    origin = origin or 0.0
+    rows = rows.withColumn("x", F.col("x") - F.lit(origin))
     if distinct * 1.1 <= cells:
-        return rows.withColumn("cell", F.col("x"))
+        return rows.withColumn("cell", F.col("x")), origin
     cuts = {f"c{i}": i / cells for i in range(1, cells)}
     edges = sorted(set(approximate_quantiles(rows, "x", cuts).first()))
     splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol="x", outputCol="cell").transform(rows)
+    return Bucketizer(splits=splits, inputCol="x", outputCol="cell").transform(rows), origin
 
 
 def _summaries(rows: DataFrame) -> dict[str, np.ndarray]:
@@ -63,7 +68,7 @@ def local_regression(df: DataFrame, x: str, y: str, frac: float = 2 / 3, iters:
     an equal-depth cell share the kernel weight of its mean. Each robustness iteration
     weighs rows by the bisquare of their residual over six median absolute residuals.
     """
-    rows = _with_cells(df, x, y, cells)
+    rows, origin = _with_cells(df, x, y, cells)
     weighted = rows.withColumn("weight", F.lit(1.0))
     spark = df.sparkSession
     for step in range(iters + 1):
@@ -88,4 +93,4 @@ def local_regression(df: DataFrame, x: str, y: str, frac: float = 2 / 3, iters:
         u = F.col("r") / scale
         weight = F.when(u < 1, F.pow(1 - u * u, F.lit(2))).otherwise(0.0)
         weighted = residual.withColumn("weight", weight)
-    return nodes.select(F.col("center").alias("x"), "fitted", F.col("n").cast("bigint").alias("n"))
+    return nodes.select((F.col("center") + origin).alias("x"), "fitted", F.col("n").cast("bigint").alias("n"))

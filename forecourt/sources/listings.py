@@ -22,7 +22,8 @@ def read_listings_csv(spark: SparkSession, path: str, multiline: bool = False) -
     Every field is read as text, then missing-value spellings become NULL and the
     numbers are cast, so one bad field never discards its row. Files stay splittable
     unless ``multiline`` is asked for. A file has no key, so ``listing_id`` is the
-    file name and the byte-ordered position Spark gives the row.
+    file name and the position Spark gives the row; it is fixed once the listings are
+    stored, which should come before any hash-based split.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in S.RAW_COLUMNS])
     raw = (
