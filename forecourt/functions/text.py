@@ -36,18 +36,24 @@ def titled(c: Column) -> Column:
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
+def _captured(c: Column, pattern: str) -> Column:
+    """First group of the first match, ``''`` without a match.
+
+    The patterns capture at least one character, so an empty result means no match, and
+    the regex need not run a second time to tell.
+    """
+    return F.regexp_extract(c, "(?Ud)" + pattern, 1)
+
+
 def condition_of(description: Column) -> Column:
     """First stated condition, or ``Unknown`` where there is none."""
-    pattern = "(?Ud)" + V.CONDITION_PATTERN
-    return F.when(
-        description.rlike(pattern), stripped(F.regexp_extract(description, pattern, 1))
-    ).otherwise(F.lit(V.UNKNOWN_CONDITION))
+    found = _captured(description, V.CONDITION_PATTERN)
+    return F.when(found != "", stripped(found)).otherwise(F.lit(V.UNKNOWN_CONDITION))
 
 
 def amenities_of(description: Column) -> Column:
     """Listed amenities in order, or an empty array."""
-    pattern = "(?Ud)" + V.AMENITIES_PATTERN
-    return F.when(
-        description.rlike(pattern),
-        F.transform(F.split(F.regexp_extract(description, pattern, 1), ","), stripped),
-    ).otherwise(F.array().cast("array<string>"))
+    found = _captured(description, V.AMENITIES_PATTERN)
+    return F.when(found != "", F.transform(F.split(found, ","), stripped)).otherwise(
+        F.array().cast("array<string>")
+    )

@@ -125,7 +125,11 @@ def train_regression(df: DataFrame, names: Sequence[str] | None = None,
     numbers per model come to the driver.
     """
     spark = df.sparkSession
-    train, test = prep.split(df, seed=seed)
+    numeric, categorical = V.feature_columns()
+    rows_used = df.select("listing_id", "price", LABEL, *numeric, *categorical).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    train, test = prep.split(rows_used, seed=seed)
     pre = prep.fit_preprocessor(train)
     keep = ("listing_id", "features", "price", LABEL)
     seen, held_out = (
@@ -145,16 +149,16 @@ def train_regression(df: DataFrame, names: Sequence[str] | None = None,
             "rmse": row["rmse"], "mae": row["mae"], "mape": row["mape"],
         }
         if cv_folds:
-            cv = kfold_r2(df, factories[name], cv_folds).first()
+            cv = kfold_r2(rows_used, factories[name], cv_folds).first()
             values |= {"cv_mean": cv["cv_mean"], "cv_std": cv["cv_std"]}
         rows += [("regression", name, metric, value) for metric, value in values.items()]
         if name in TREE_MODELS:
             importances[name] = evaluate.feature_importance(fitted, _feature_names(), spark)
-    seen.unpersist()
-    held_out.unpersist()
+    for kept in (seen, held_out, rows_used):
+        kept.unpersist()
     test_r2 = {model: value for _, model, metric, value in rows if metric == "test_r2"}
     best = max(test_r2, key=lambda m: float("-inf") if test_r2[m] is None else test_r2[m])
-    predictions = evaluate.prediction_table(models[best].transform(test))
+    predictions = evaluate.prediction_table(models[best].transform(prep.split(df, seed=seed)[1]))
     return PriceModels(models, spark.createDataFrame(rows, S.METRICS), best, predictions, importances)
 
 

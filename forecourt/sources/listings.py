@@ -10,6 +10,7 @@ from forecourt import schema as S
 from forecourt import vocabulary as V
 from forecourt.operators.clean import GroupMedianImputer, clean_listings
 from forecourt.operators.features import engineer_listings
+from forecourt.sources.tables import spread
 
 
 def _present(c: Column) -> Column:
@@ -51,7 +52,7 @@ def read_listings_csv(spark: SparkSession, path: str, multiline: bool = False) -
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """Raw listings stored as Parquet."""
-    return spark.read.schema(S.RAW).parquet(path)
+    return spread(spark.read.schema(S.RAW).parquet(path))
 
 
 def clean_layer(raw: DataFrame, imputer: GroupMedianImputer | None = None) -> DataFrame:
