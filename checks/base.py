@@ -1,15 +1,13 @@
 """Inputs shared by the registered queries and the same inputs as SQL."""
 
-import functools
-import os
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.operators.clean import fit_cylinder_imputer
+from forecourt.operators.clean import GroupMedianImputer, fit_cylinder_imputer
+from forecourt.session import shared_folder
 from forecourt.sources.listings import clean_layer, engineered_layer
 from forecourt.sources.tables import LUXURY_MAKES, listings_from_tables
 
@@ -18,15 +16,15 @@ def raw(spark: SparkSession, folder: str) -> DataFrame:
     return listings_from_tables(spark, folder)
 
 
-@functools.lru_cache(maxsize=8)
-def _imputer(application: str, folder: str):
-    spark = SparkSession.getActiveSession()
-    return fit_cylinder_imputer(raw(spark, folder))
+_IMPUTERS: dict[tuple[str, str], GroupMedianImputer] = {}
 
 
-def imputer(spark: SparkSession, folder: str):
+def imputer(spark: SparkSession, folder: str) -> GroupMedianImputer:
     """The fitted imputation table of a folder, fitted once per application."""
-    return _imputer(spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _IMPUTERS:
+        _IMPUTERS[key] = fit_cylinder_imputer(raw(spark, folder))
+    return _IMPUTERS[key]
 
 
 def clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -47,10 +45,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for a write-and-read-back check, shared where the cluster shares one."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    name = f"forecourt-{uuid.uuid4().hex}"
-    return f"{base.rstrip('/')}/{name}" if base else os.path.join(tempfile.mkdtemp(), name)
+    """A new folder for a write-and-read-back check."""
+    return f"{shared_folder(spark).rstrip('/')}/forecourt-{uuid.uuid4().hex}"
 
 
 RAW = """

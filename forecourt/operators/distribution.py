@@ -93,7 +93,7 @@ def histogram(df: DataFrame, col: str, nbins: int = 50, by: Sequence[str] = ())
     edges = scalar_row(df.agg(F.min(value).alias("low"), F.max(value).alias("high")))
     width = (edges["high"] - edges["low"]) / nbins
     at = F.floor(F.try_divide(value - edges["low"], width))
-    bin_ = F.coalesce(F.least(at, F.lit(nbins - 1)), F.lit(0)).cast("int")
+    bin_ = F.least(F.coalesce(at, F.lit(0)), F.lit(nbins - 1)).cast("int")
     rows = df.where(value.isNotNull()).select(*by, bin_.alias("bin"))
     counts = rows.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("count"))
     return counts.select(

@@ -23,21 +23,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for lineage cuts and written tables.
+
+    Only a local session that names none gets a temporary folder: on a cluster that would
+    not be shared between machines.
+    """
+    context = spark.sparkContext
+    configured = context.getConf().get(_CHECKPOINT_KEY) or spark.conf.get(_CHECKPOINT_KEY, None)
+    if configured:
+        return configured
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a shared folder")
+    return tempfile.mkdtemp(prefix="forecourt-")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back, cutting lineage.
 
-    The folder is the one the cluster names. Only a local session that names none
-    gets a temporary folder, since on a cluster that would not be shared.
+    Losing an executor afterwards costs nothing, as the rows are in files.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        configured = context.getConf().get(_CHECKPOINT_KEY) or spark.conf.get(
-            _CHECKPOINT_KEY, None
-        )
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {_CHECKPOINT_KEY} to a shared folder")
-            configured = tempfile.mkdtemp(prefix="forecourt-checkpoint-")
-        context.setCheckpointDir(configured)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
