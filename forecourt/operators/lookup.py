@@ -4,6 +4,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.session import checkpoint
+
 BROADCAST_ROWS = 200_000
 
 
@@ -11,12 +13,12 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, pa.T
     """``df`` marked for broadcast if it is proven to hold at most ``limit`` rows.
 
     At most ``limit + 1`` rows reach the driver; they are returned too. Beyond the limit
-    the table comes back unhinted and without rows, so the join shuffles and adaptive
-    execution splits skewed keys.
+    the table is checkpointed and comes back unhinted and without rows, so the join shuffles
+    and adaptive execution splits skewed keys.
     """
     head = df.limit(limit + 1).toArrow()
     if head.num_rows > limit:
-        return df, None
+        return checkpoint(df), None
     return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema)), head
 
 

@@ -93,6 +93,14 @@ def _interpolate(picked: DataFrame, keys: Sequence[str], names: Sequence[str]) -
     return rows.groupBy(*keys).agg(*columns)
 
 
+def _with_wanted(counts: DataFrame, located: DataFrame | None, on: Sequence[str]) -> DataFrame:
+    """Attach the ranks wanted from each cell, after the aggregation: carried through it,
+    the array would turn hash aggregation into sorting."""
+    if located is None:
+        return counts
+    return counts.join(located.select(*on, _WANTED), list(on))
+
+
 def _fullest(located: DataFrame, head: pa.Table | None) -> int | None:
     """Rows in the fullest cell with more than one distinct value, if there is one."""
     if head is None:
@@ -128,28 +136,27 @@ def quantiles(df: DataFrame, col: str, ps: Mapping[str, float] | Sequence[float]
         rows = rows.withColumn(_ALL, F.lit(0))
 
     cells: list[str] = []
+    located = None
     for depth in range(_MAX_ROUNDS):
         cell = f"_cell{depth}"
         key = _log_cell(F.col(_VALUE)) if depth == 0 else _sub_cell(F.col(_VALUE))
         rows = rows.withColumn(cell, key)
-        carried = [F.first(_WANTED).alias(_WANTED)] if depth else []
         counts = rows.groupBy(*keys, *cells, cell).agg(
-            F.sum(_WEIGHT).alias(_N), F.min(_VALUE).alias(_LOW), F.max(_VALUE).alias(_HIGH),
-            *carried,
+            F.sum(_WEIGHT).alias(_N), F.min(_VALUE).alias(_LOW), F.max(_VALUE).alias(_HIGH)
         )
+        counts = _with_wanted(counts, located, [*keys, *cells])
         located, head = bounded(_locate(counts, [*keys, *cells], cell, fractions))
         cells.append(cell)
         fullest = _fullest(located, head)
         if fullest is None:
             picked = located.withColumn(_VALUE, F.col(_LOW))
             return _interpolate(picked, keys, names).select(*by, *names)
-        rows = rows.drop(_LOW, _HIGH, _WANTED).join(located.drop(_N), [*keys, *cells])
+        rows = rows.drop(_LOW, _HIGH).join(located.drop(_N, _WANTED), [*keys, *cells])
         if fullest <= cell_rows:
             break
 
-    values = rows.groupBy(*keys, *cells, _VALUE).agg(
-        F.sum(_WEIGHT).alias(_N), F.first(_WANTED).alias(_WANTED)
-    )
+    values = rows.groupBy(*keys, *cells, _VALUE).agg(F.sum(_WEIGHT).alias(_N))
+    values = _with_wanted(values, located, [*keys, *cells])
     picked = _locate(values, [*keys, *cells], _VALUE, fractions)
     return _interpolate(picked, keys, names).select(*by, *names)
 
