@@ -9,13 +9,18 @@ from pyspark.sql import functions as F
 
 from forecourt import vocabulary as V
 
-_BLANK = r"[\s\x1c-\x1f]"
+# The characters Unicode and its bidirectional classes count as white space.
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def stripped(c: Column) -> Column:
-    """Without leading and trailing whitespace of any kind."""
-    return F.regexp_replace(c, rf"(?U)^{_BLANK}+|{_BLANK}+\z", "")
+    """Without leading and trailing white space of any kind; looks at the ends only."""
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def number_or_null(c: Column) -> Column:
@@ -27,13 +32,14 @@ def number_or_null(c: Column) -> Column:
 def titled(c: Column) -> Column:
     """``-`` becomes a space and every run of letters starts with a capital.
 
-    ``initcap`` alone capitalises after blanks only; splitting into letter and
-    non-letter runs also capitalises after a digit or an apostrophe.
+    ``initcap`` capitalises after blanks only. Where a letter follows a digit or another
+    mark, the text is split into letter and other runs, which costs far more.
     """
-    runs = F.regexp_extract_all(
-        F.lower(F.replace(c, F.lit("-"), F.lit(" "))), F.lit(r"(\p{L}+|\P{L}+)")
-    )
-    return F.array_join(F.transform(runs, F.initcap), "")
+    spaced = F.replace(c, F.lit("-"), F.lit(" "))
+    runs = F.regexp_extract_all(F.lower(spaced), F.lit(r"(\p{L}+|\P{L}+)"))
+    return F.when(
+        spaced.rlike(r"[^\p{L} ]\p{L}"), F.array_join(F.transform(runs, F.initcap), "")
+    ).otherwise(F.initcap(spaced))
 
 
 def _captured(c: Column, pattern: str) -> Column:

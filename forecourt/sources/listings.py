@@ -52,7 +52,7 @@ def read_listings_csv(spark: SparkSession, path: str, multiline: bool = False) -
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     """Raw listings stored as Parquet."""
-    return spread(spark.read.schema(S.RAW).parquet(path))
+    return spread(spark.read.schema(S.RAW).parquet(path), "listing_id")
 
 
 def clean_layer(raw: DataFrame, imputer: GroupMedianImputer | None = None) -> DataFrame:
