@@ -3,9 +3,11 @@
 import uuid
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from forecourt.llm import (
     decontaminate, line_dedup, packing, quality, sharding, simhash, token_counts, token_files, toxicity, url_filter,
@@ -65,11 +67,9 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(read(spark, folder, "documents"))
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def _ids_crc32(ids: pd.Series) -> pd.Series:
     """crc32 of 16-bit ids written as little-endian 32-bit numbers."""
-    import numpy as np
-
     return ids.map(lambda raw: zlib.crc32(np.frombuffer(raw, "<u2").astype("<u4").tobytes())).astype("int64")
 
 

@@ -78,7 +78,7 @@ def token_at(code: bytes, at: np.ndarray) -> np.ndarray:
         held = np.where(rows < len(bits), bits[np.minimum(rows, len(bits) - 1)], 0).astype(np.uint8)
         whole = np.bitwise_count(held) * (mask < ((place % _RANK) >> 3)[:, None])
         last = np.bitwise_count(bits[place >> 3] & ((1 << (place & 7)) - 1).astype(np.uint8))
-        place = ranks[block].astype(np.int64) + whole.sum(axis=1) + last
+        place = ranks[block].astype(np.int64) + whole.sum(axis=1, dtype=np.int64) + last.astype(np.int64)
     return out
 
 
