@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 #: Distinct pieces that a worker remembers: about 120 MB. Beyond them pieces are encoded per batch.
 REMEMBERED = 600_000
+AT_ONCE = 2_000_000
 _UNSPLIT = re.compile(r"\s\s|[^\S \n]|<\|")
 #: A piece that is one run of Latin letters, perhaps with a full stop or comma behind it.
 _PLAIN = re.compile(r"([ \n]?)([A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
@@ -84,8 +85,17 @@ class Encoder:
         return out | dict(zip(others, self._ids(list(others.values()))))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of every text; a null text has none."""
-        texts = [t or "" for t in texts]
+        """Ids of every text; a null text has none. Pieces of at most ``AT_ONCE`` characters, or of one text, are held."""
+        out, held, size = [], [], 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= AT_ONCE:
+                out += self._encode(held)
+                held, size = [], 0
+        return out + self._encode(held)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self._pieces(t) for t in texts]
         new = list(set().union(*split).difference(self.known, (None,)))
         table = self.known
