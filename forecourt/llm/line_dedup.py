@@ -59,7 +59,8 @@ def drop_bitmaps(
     neither has a document that keeps all. ``key`` tells texts of one id apart.
     """
     found = stored(occurrences(docs, id_col, text_col, min_chars), "lines")
-    common = repeated_lines(found, min_docs).select(F.col("h").alias("h_"), F.col("g").alias("g_"), "last")
+    # Stored, so that both sides of the join are plain and adaptive execution may split a common line.
+    common = stored(repeated_lines(found, min_docs), "common-lines").select(F.col("h").alias("h_"), F.col("g").alias("g_"), "last")
     gone = found.join(common, (F.col("h") == F.col("h_")) & (F.col("g") == F.col("g_")) & (F.col("id") != F.col("last")))
     bit = F.expr("shiftleft(1L, cast(pos % 64 as int))")
     packed = gone.groupBy("id", "key", F.floor(F.col("pos") / _WORD).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
