@@ -71,15 +71,18 @@ class Encoder:
             if self.kind == "words":
                 piece = key.decode("utf-8", "replace")
                 if plain := _PLAIN.fullmatch(piece):
-                    out[key] = self._run(plain[2].lower()) + self.marks[plain[3]]
+                    stem = key[:-1] if plain[3] else key
+                    ids = self.known.get(stem) or out.get(stem) or self._run(plain[2].lower())
+                    out[key] = ids + self.marks[plain[3]]
                     continue
             else:
                 piece = key if key[0] == "\n" else " " + key
                 if plain := _PLAIN.fullmatch(piece):
-                    if plain[1] == " ":
-                        out[key] = self._run(" " + plain[2]) + self.marks[plain[3]]
-                    else:
-                        out[key] = self.marks["\n"] + self._run(plain[2]) + self.marks[plain[3]]
+                    stem = key[:-1] if plain[3] else key
+                    ids = self.known.get(stem) or out.get(stem)
+                    if ids is None:
+                        ids = self._run(" " + plain[2]) if plain[1] == " " else self.marks["\n"] + self._run(plain[2])
+                    out[key] = ids + self.marks[plain[3]]
                     continue
             others[key] = piece
         return out | dict(zip(others, self._ids(list(others.values()))))

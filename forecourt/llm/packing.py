@@ -9,7 +9,7 @@ from forecourt.llm.common import stored
 from forecourt.llm.encoding import encoder
 
 #: Pieces that are packed together; each group leaves at most about one sequence partly empty.
-GROUP = 32_768
+GROUP = 8192
 
 
 def pieces(
