@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import stored, text_key
+from forecourt.llm.common import plain, stored, text_key
 
 #: Most labelled rows that a list is learned from.
 SAMPLE = 20_000
@@ -25,7 +25,6 @@ FEATURES = {
     "digit_share": "try_divide(n_digits, word_chars)",
     "marks_per_word": "try_divide(n_marks, n_words)",
 }
-_GROW = 2 / 3
 
 
 def _count(raw: bytes, of: bytes) -> int:
@@ -76,7 +75,7 @@ def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def run(batches):
         for batch in batches:
             out = pd.DataFrame([statistics(t) for t in batch["text"]], columns=list(STATISTICS))
-            yield out.assign(id=batch["id"].to_numpy(), key=batch["key"].to_numpy())
+            yield out.assign(id=plain(batch["id"]), key=batch["key"].to_numpy())
 
     chosen = docs.select(F.col(id_col).cast("string").alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     made = chosen.mapInPandas(run, "id string, key bigint, " + ", ".join(f"{c} bigint" for c in STATISTICS))
@@ -157,7 +156,7 @@ def learn(rows: pd.DataFrame, min_precision: float = 0.97, min_cover: int = 3) -
     rows = rows.reset_index(drop=True)
     features = [c for c in rows.columns if c != "bad"]
     while len(rows) and rows["bad"].any():
-        grow = (np.arange(len(rows)) * _GROW % 1) < _GROW
+        grow = np.arange(len(rows)) % 3 < 2
         candidates = {}
         for f in features:
             values = np.unique(np.quantile(rows[f], np.linspace(0, 1, 129), method="nearest"))
