@@ -1,4 +1,4 @@
-"""Toxicity by compression distance: two zstandard dictionaries that differ only in what toxic text adds."""
+"""Toxicity by compression distance: which of two zstandard dictionaries explains a window better."""
 
 import math
 from collections import defaultdict
@@ -10,6 +10,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.llm.common import plain
+
 #: Most rows of either label that a model is fitted on, and most bytes of text of all of them.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 1500, 4500, 48 << 20
 #: Distinct windows that a worker remembers.
@@ -17,7 +19,7 @@ REMEMBERED = 600_000
 _EDGE = b".,;:!?\"'()[]"
 #: A run that both dictionaries hold. Behind a window it makes even a short one worth compressing.
 _FRAME = bytes([*range(1, 9), *range(14, 22)]) * 2
-_BASE, _CHOICES, _FLOOR = 8192, (16, 32, 64, 128, 256), 2
+_BASE, _CHOICES, _DISCOUNTS, _ALARM = 1 << 16, (64, 256, 1024), (0.0, 0.15, 0.3), 3
 
 
 def windows(text: str | None) -> list[bytes]:
@@ -37,7 +39,7 @@ def _contexts(texts: list[str]) -> dict[bytes, int]:
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
     plain = zstandard.ZstdCompressionParameters(
-        min_match=5, strategy=zstandard.STRATEGY_LAZY2, window_log=16, hash_log=15, chain_log=15, search_log=8,
+        min_match=5, strategy=zstandard.STRATEGY_LAZY2, window_log=17, hash_log=16, chain_log=16, search_log=8,
         target_length=64, write_checksum=False, write_content_size=False, write_dict_id=False,
         format=zstandard.FORMAT_ZSTD1_MAGICLESS,
     )
@@ -47,30 +49,35 @@ def _compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 @dataclass(frozen=True)
 class Model:
-    """The two dictionaries, and the bytes that a window must gain for a text to be called toxic."""
+    """The two dictionaries, and what a window must gain for a text to be called toxic.
+
+    A gain is the bytes that the toxic dictionary saves less ``discount`` for each byte of the window.
+    """
 
     ordinary: bytes
     toxic: bytes
-    threshold: int
+    threshold: float
+    discount: float
 
 
 class Distances(dict):
-    """Bytes that the toxic dictionary saves on a window over the ordinary one."""
+    """Gains of windows: the ordinary dictionary's length less the toxic one's, less the discount."""
 
     def __init__(self, model: Model):
         super().__init__()
-        self.ordinary, self.toxic = _compressor(model.ordinary), _compressor(model.toxic)
+        self.ordinary, self.toxic, self.discount = _compressor(model.ordinary), _compressor(model.toxic), model.discount
 
-    def __missing__(self, window: bytes) -> int:
+    def __missing__(self, window: bytes) -> float:
         framed = b" " + window.strip(_EDGE) + b" " + _FRAME
-        gain = len(self.ordinary.compress(framed)) - len(self.toxic.compress(framed))
+        saved = len(self.ordinary.compress(framed)) - len(self.toxic.compress(framed))
+        gain = saved - self.discount * (len(framed) - len(_FRAME)) if saved > 0 else 0.0
         if len(self) < REMEMBERED:
             self[window] = gain
         return gain
 
     def of(self, text: str | None) -> np.ndarray:
         parts = windows(text)
-        return np.fromiter(map(self.__getitem__, parts), np.int16, len(parts))
+        return np.fromiter(map(self.__getitem__, parts), np.float32, len(parts))
 
 
 def _ordinary_base(texts: list[str]) -> bytes:
@@ -84,50 +91,69 @@ def _ordinary_base(texts: list[str]) -> bytes:
         return b"".join(samples)[-_BASE:]
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model | None:
-    """Train the dictionaries on one half of the texts and choose their size and threshold on the other.
-
-    The ordinary dictionary is trained by zstandard on ordinary text. The toxic one is the same
-    with another end, as long: windows in the order of how far more different neighbourhoods they
-    have in toxic text than in ordinary. Since the two agree elsewhere, a window's lengths differ
-    by what toxic text alone explains. Of several lengths of that end and several thresholds the
-    pair with the fewest errors on the other half wins, then the one with the widest margin.
-    """
-    fit_t, check_t, fit_o, check_o = toxic[::2], toxic[1::2] or toxic, ordinary[::2], ordinary[1::2] or ordinary
-    if not fit_t or not fit_o:
-        return None
-    more, less = _contexts(fit_t), _contexts(fit_o)
+def _ranked(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """Windows that mark toxic text, the strongest last."""
+    more, less = _contexts(toxic), _contexts(ordinary)
     n_more, n_less = max(1, sum(more.values())), max(1, sum(less.values()))
     weight = {}
     for window, k in more.items():
         odds = (k / n_more) / ((less.get(window, 0) + 1) / n_less)
         if k >= 3 and odds > 3:
             weight[window] = k * math.log(odds)
-    ranked = sorted(weight, key=lambda w: (weight[w], w))
+    return sorted(weight, key=lambda w: (weight[w], w))
+
+
+def _tops(gains: Distances, texts: list[str]) -> np.ndarray:
+    """The largest gain of every text under each of the discounts."""
+    out = np.zeros((len(texts), len(_DISCOUNTS)))
+    for k, text in enumerate(texts):
+        parts = windows(text)
+        saved = np.fromiter(map(gains.__getitem__, parts), float, len(parts))
+        sizes = np.fromiter((len(w.strip(_EDGE)) + 2 for w in parts), float, len(parts))
+        for d, discount in enumerate(_DISCOUNTS):
+            out[k, d] = np.where(saved > 0, saved - discount * sizes, 0).max(initial=0)
+    return out
+
+
+def fit(toxic: list[str], ordinary: list[str]) -> Model | None:
+    """Train a dictionary on each kind of text; choose size, discount and threshold on other texts.
+
+    Two thirds of the texts train: zstandard the ordinary dictionary, the toxic one is the windows
+    that have far more different neighbourhoods in toxic text than in ordinary, the strongest
+    nearest. The last third decides: of the sizes, discounts and thresholds those with the fewest
+    errors win, a false alarm counting as three misses, and of a run of thresholds that do equally well the middle one. None without
+    texts of both kinds, or if no window marks the toxic ones.
+    """
+    fit_t, check_t = [x for k, x in enumerate(toxic) if k % 3], toxic[::3]
+    fit_o, check_o = [x for k, x in enumerate(ordinary) if k % 3], ordinary[::3]
+    if not fit_t or not fit_o:
+        return None
+    ranked = _ranked(fit_t, fit_o)
     if not ranked:
         return None
-    base, common = _ordinary_base(fit_o), sorted(less, key=lambda w: (less[w], w))
-    best = None
+    best, steps = None, np.arange(1, 10.25, 0.25)
+    base = _ordinary_base(fit_o) + _FRAME
     for size in _CHOICES:
-        end = b" ".join([b"", *ranked[-size:], b""])
-        fill = (b" ".join([b"", *common[-4 * size :], b""]))[-len(end) :].rjust(len(end))
-        model = Model(_FRAME + base + fill, _FRAME + base + end, 0)
-        gains = Distances(model)
-        top_t, top_o = ([int(gains.of(x).max(initial=0)) for x in part] for part in (check_t, check_o))
-        for threshold in range(_FLOOR, 13):
-            wrong = sum(x < threshold for x in top_t) / len(top_t) + sum(x >= threshold for x in top_o) / len(top_o)
-            if best is None or wrong < best[0]:
-                best = (wrong, Model(model.ordinary, model.toxic, threshold))
+        pair = base, b" ".join([b"", *ranked[-size:], b""]) + _FRAME
+        gains = Distances(Model(*pair, 0, 0))
+        top_t, top_o = _tops(gains, check_t), _tops(gains, check_o)
+        for d, discount in enumerate(_DISCOUNTS):
+            wrong = np.array([(top_t[:, d] < t).mean() + _ALARM * (top_o[:, d] >= t).mean() for t in steps])
+            first = int(wrong.argmin())
+            run = first + int(np.argmin(np.append(wrong[first:] <= wrong[first] + 1e-9, False)))
+            found = (wrong[first], first - run, size, discount)
+            if best is None or found < best[0]:
+                best = (found, Model(*pair, float(steps[(first + run) // 2]), discount))
         if size >= len(ranked):
             break
     return best[1]
 
 
-def score(gains: np.ndarray, threshold: int) -> float:
+def score(gains: np.ndarray, threshold: float) -> float:
     """0 to 1: one half lies just below the threshold for the largest gain; further hits add a little."""
-    top = int(gains.max(initial=0))
+    top = float(gains.max(initial=0))
     hits = int((gains >= threshold).sum())
-    return 1 / (1 + math.exp(-(top - threshold + 0.5) - 0.5 * math.log1p(hits)))
+    return 1 / (1 + math.exp(-(top - threshold + 0.1) - 0.5 * math.log1p(hits)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[list[str], list[str]]:
@@ -167,12 +193,12 @@ def score_documents(docs: DataFrame, model: Model | None, id_col: str = "doc_id"
                     found.append((0.0, 0, 0))
                 else:
                     got = gains.of(text)
-                    found.append((score(got, model.threshold), int((got >= model.threshold).sum()), int(got.max(initial=0))))
+                    found.append((score(got, model.threshold), int((got >= model.threshold).sum()), float(got.max(initial=0))))
             out = pd.DataFrame(found, columns=["score", "n_hits", "top_gain"])
-            yield out.assign(id=batch["id"].to_numpy())
+            yield out.assign(id=plain(batch["id"]))
 
     chosen = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = chosen.mapInPandas(run, "id string, score double, n_hits bigint, top_gain int")
+    made = chosen.mapInPandas(run, "id string, score double, n_hits bigint, top_gain double")
     return made.select(F.col("id").cast(id_type).alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_hits", "top_gain")
 
 
