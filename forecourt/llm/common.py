@@ -4,6 +4,7 @@ import atexit
 import contextlib
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def plain(values) -> pd.Series:
+    """Values of a column as objects: what Arrow turns into one array, nulls included."""
+    return pd.Series([None if x is None or x is pd.NA or x != x else x for x in values], dtype=object)
+
+
 def words(text: str | None, lower: bool = False) -> list[bytes]:
     """UTF-8 words of a text. ``bytes.split`` knows ASCII white space only, as ``SPACE``."""
     raw = (text or "").encode("utf-8", "surrogatepass")

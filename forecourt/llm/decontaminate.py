@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import text_key
+from forecourt.llm.common import plain, text_key
 
 #: Part of an item's words that must agree under edits, and the share of such windows to be found.
 SIMILARITY, RECALL = 0.8, 0.99
@@ -300,8 +300,8 @@ def _pass(chosen: DataFrame, index: Index) -> DataFrame:
                 found = finder.find(rows["text"].tolist())
                 which = [x[0] for x in found]
                 yield pd.DataFrame({
-                    "id": rows["id"].to_numpy()[which], "key": rows["key"].to_numpy()[which],
-                    "item": [finder.index.items[x[1]][0] for x in found], "distance": [x[2] for x in found],
+                    "id": plain(rows["id"].to_numpy()[which]), "key": rows["key"].to_numpy()[which],
+                    "item": plain([finder.index.items[x[1]][0] for x in found]), "distance": [x[2] for x in found],
                     "start_word": [x[3] for x in found], "end_word": [x[4] for x in found],
                 })
 

@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import stored
+from forecourt.llm.common import plain, stored
 from forecourt.llm.encoding import encoder
 
 #: Pieces that are packed together; each group leaves at most about one sequence partly empty.
@@ -34,7 +34,8 @@ def pieces(
                     first = len(ids) % capacity or capacity
                     cuts = [0, *range(first, len(ids) + 1, capacity)]
                     out += [(name, n, a, b - a, ids[a:b].tobytes()) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-                yield pd.DataFrame(out, columns=["id", "piece", "start", "length", "ids"])
+                table = pd.DataFrame(out, columns=["id", "piece", "start", "length", "ids"])
+                yield table.assign(id=plain(table["id"]))
 
     chosen = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
     cut = chosen.mapInPandas(run, "id string, piece int, start bigint, length bigint, ids binary")

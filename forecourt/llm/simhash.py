@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import stored, text_key, words
+from forecourt.llm.common import plain, stored, text_key, words
 from forecourt.llm.components import stars
 
 SEED = 42
@@ -41,7 +41,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def run(batches):
         for batch in batches:
             bits = [fingerprint(t, shingle) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "key": batch["key"], "bits": bits})
+            yield pd.DataFrame({"id": plain(batch["id"]), "key": batch["key"], "bits": bits})
 
     kind = docs.schema[id_col].dataType.simpleString()
     chosen = docs.select(

@@ -6,7 +6,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import stored, text_key
+from forecourt.llm.common import plain, stored, text_key
 from forecourt.llm.encoding import encoder
 
 #: Pre-tokens in a leaf.
@@ -64,7 +64,7 @@ def count_trees(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
                     ends, sums = leaves(text or "", counts, np.fromiter(map(len, parts), np.int64, len(parts)))
                     found.append((int(sums.sum()), ends.tobytes(), tree(sums).tobytes()))
                 out = pd.DataFrame(found, columns=["n_tokens", "ends", "sums"])
-                yield out.assign(id=rows["id"].to_numpy(), key=rows["key"].to_numpy())
+                yield out.assign(id=plain(rows["id"]), key=rows["key"].to_numpy())
 
     chosen = docs.select(F.col(id_col).cast("string").alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     made = chosen.mapInPandas(run, "id string, key bigint, n_tokens bigint, ends binary, sums binary")
