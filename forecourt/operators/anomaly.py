@@ -14,13 +14,12 @@ from pyspark.sql import functions as F
 
 from forecourt import schema as S
 from forecourt import vocabulary as V
-from forecourt.functions.numeric import percent, round_half_even
+from forecourt.functions.numeric import known, percent, round_half_even
 from forecourt.operators.distribution import bottom_k
 from forecourt.operators.quantiles import quantiles
 from forecourt.session import checkpoint
 
 FEATURES = list(V.SEGMENT_FEATURES)
-_POOL_ROWS = 200_000
 _EULER = 0.5772156649015329
 _LEAF = -1
 
@@ -44,23 +43,30 @@ def _uniform(seed: int, *columns: Column) -> Column:
     return hashed.cast("double") / float(2**63)
 
 
+def _complete(features: Sequence[str]) -> Column:
+    test = F.lit(True)
+    for c in features:
+        test = test & known(F.col(c)).isNotNull()
+    return test
+
+
 def tree_samples(df: DataFrame, n_rows: int, features: Sequence[str], trees: int, sample: int,
                  seed: int, key: str) -> DataFrame:
     """``sample`` random rows per tree, chosen by hash and so independent of partitioning.
 
-    A hash threshold first keeps a pool of about ``_POOL_ROWS`` rows, the only ones drawn
-    from once per tree. A second threshold leaves about two samples per tree to rank.
+    Every complete row may enter every tree. A hash of row and tree, compared in place, leaves
+    about two samples per tree to rank, so about ``2 * sample * trees`` pairs are made whatever
+    the number of rows.
     """
-    pool_share = min(1.0, _POOL_ROWS / max(n_rows, 1))
-    pooled = min(float(n_rows), float(_POOL_ROWS))
-    draw_share = min(1.0, 2.0 * sample / max(pooled, 1.0))
-    rows = df.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in features])
-    if pool_share < 1.0:
-        rows = rows.where(_uniform(seed, F.col("_key")) < pool_share)
-    drawn = (
-        rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_draw", _uniform(seed + 1, F.col("tree"), F.col("_key")))
-        .where(F.col("_draw") < draw_share)
+    share = min(1.0, 2.0 * sample / max(n_rows, 1))
+    rows = df.where(_complete(features)).select(
+        F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in features]
+    )
+    joined = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _uniform(seed + 1, t, F.col("_key")) < share
+    )
+    drawn = rows.withColumn("tree", F.explode(joined)).withColumn(
+        "_draw", _uniform(seed + 1, F.col("tree"), F.col("_key"))
     )
     order = Window.partitionBy("tree").orderBy("_draw", "_key")
     return drawn.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample)
@@ -117,7 +123,8 @@ def fit_isolation_forest(df: DataFrame, trees: int = TREES, sample: int = SAMPLE
     The node table holds at most ``trees * (2 * sample - 1)`` rows. The offset is the exact
     ``contamination`` quantile of the rows' raw scores, which are stored once for it.
     """
-    n_rows = df.count()
+    complete = df.where(_complete(features))
+    n_rows = complete.count()
     sample = min(sample, n_rows)
     nodes = checkpoint(
         tree_samples(df, n_rows, features, trees, sample, seed, key)
@@ -126,7 +133,7 @@ def fit_isolation_forest(df: DataFrame, trees: int = TREES, sample: int = SAMPLE
     )
     forest = IsolationForest(nodes, list(features), sample)
     if contamination is not None:
-        scores = checkpoint(raw_scores(df, forest).select("raw_score"))
+        scores = checkpoint(raw_scores(complete, forest).select("raw_score"))
         forest.offset = quantiles(scores, "raw_score", {"q": contamination}).first()[0]
     return forest
 
@@ -150,7 +157,10 @@ def _packed(nodes: DataFrame) -> dict[str, np.ndarray]:
 
 
 def raw_scores(df: DataFrame, forest: IsolationForest) -> DataFrame:
-    """Adds ``raw_score``: -2^(-mean path / expected path), near -1 for isolated rows."""
+    """Adds ``raw_score``: -2^(-mean path / expected path), near -1 for isolated rows.
+
+    A row that lacks a feature has no score.
+    """
     packed = df.sparkSession.sparkContext.broadcast(_packed(forest.nodes))
     depth = math.ceil(math.log2(max(forest.sample, 2)))
     norm = expected_path(forest.sample) or 1.0
@@ -171,7 +181,7 @@ def raw_scores(df: DataFrame, forest: IsolationForest) -> DataFrame:
             yield pd.Series(-np.exp2(-total / len(t["roots"]) / norm))
 
     inputs = [F.col(c).cast("double") for c in forest.features]
-    return df.withColumn("raw_score", score(*inputs))
+    return df.withColumn("raw_score", F.when(_complete(forest.features), score(*inputs)))
 
 
 def score_isolation_forest(df: DataFrame, forest: IsolationForest) -> DataFrame:

@@ -33,21 +33,23 @@ def iqr_outliers(df: DataFrame, col: str, k: float = 1.5, clamp: bool = True,
                  side: str = "both") -> DataFrame:
     """Rows beyond the fences. The fences reach the filter as two scalars."""
     fences = scalar_row(iqr_bounds(df, col, k, clamp))
-    above = F.col(col) > fences["upper"]
+    value = known(F.col(col))
+    above = value > fences["upper"]
     if side == "upper":
         return df.where(above)
     if side != "both":
         raise ValueError(f"unknown side {side!r}")
-    return df.where(above | (F.col(col) < fences["lower"]))
+    return df.where(above | (value < fences["lower"]))
 
 
 def outlier_summary(df: DataFrame, col: str, k: float = 1.5, clamp: bool = True) -> DataFrame:
     """Outliers in all and above, their share, and the range of the upper ones: one scan."""
     fences = scalar_row(iqr_bounds(df, col, k, clamp))
-    above = F.col(col) > fences["upper"]
+    value = known(F.col(col))
+    above = value > fences["upper"]
     row = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count_if(above | (F.col(col) < fences["lower"])).alias("n_outliers"),
+        F.count_if(above | (value < fences["lower"])).alias("n_outliers"),
         F.count_if(above).alias("n_upper"),
         F.min(F.when(above, F.col(col))).alias("min_upper"),
         F.max(F.when(above, F.col(col))).alias("max_upper"),
@@ -130,7 +132,8 @@ def density_curve(df: DataFrame, col: str, by: str, grid: int = 100, bins: int =
 
     The bandwidth is Silverman's: 0.9 min(sd, IQR/1.34) n^(-1/5). Rows are first counted in
     ``bins`` equal-width bins of their group, so the work beyond one scan is
-    groups x bins x grid whatever the number of rows.
+    groups x bins x grid whatever the number of rows. A group of one row or one value has no
+    bandwidth: it comes back as one point at its value, with a NULL density.
     """
     value = known(F.col(col)).alias("_v")
     rows = df.select(by, value).where(F.col(by).isNotNull() & F.col("_v").isNotNull())
@@ -140,11 +143,12 @@ def density_curve(df: DataFrame, col: str, by: str, grid: int = 100, bins: int =
     )
     iqr = (F.col("q3") - F.col("q1")) / 1.34
     scale = F.when(iqr > 0, F.least(F.col("_sd"), iqr)).otherwise(F.col("_sd"))
-    shape = (
-        moments.join(quantiles(rows, "_v", _QUARTILES, by), by)
-        .withColumn("_h", 0.9 * scale * F.pow(F.col("_n"), F.lit(-0.2)))
-        .where(F.col("_h") > 0)
-        .select(by, "_n", "_low", "_high", "_h")
+    every = moments.join(quantiles(rows, "_v", _QUARTILES, by), by).withColumn(
+        "_h", 0.9 * scale * F.pow(F.col("_n"), F.lit(-0.2))
+    )
+    shape = every.where(F.col("_h") > 0).select(by, "_n", "_low", "_high", "_h")
+    flat = every.where(F.coalesce(F.col("_h"), F.lit(0.0)) <= 0).select(
+        by, F.lit(0).alias("point"), F.col("_low").alias("x"), F.lit(None).cast("double").alias("density")
     )
     width = (F.col("_high") - F.col("_low")) / bins
     bin_ = F.least(F.floor((F.col("_v") - F.col("_low")) / width), F.lit(bins - 1))
@@ -162,12 +166,13 @@ def density_curve(df: DataFrame, col: str, by: str, grid: int = 100, bins: int =
         binned.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
         .groupBy(by, "point")
         .agg(F.first(point).alias("x"), F.sum(weight).alias("density"))
+        .unionByName(flat)
     )
 
 
 def _ranked(df: DataFrame, col: str, k: int, order, key: str) -> DataFrame:
     # The window sees the k rows that are left, never the table.
-    best = df.where(F.col(col).isNotNull()).orderBy(order, F.col(key)).limit(k)
+    best = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).orderBy(order, F.col(key)).limit(k)
     rank = F.row_number().over(Window.orderBy(order, F.col(key)))
     return best.withColumn("rank", rank)
 
@@ -182,6 +187,7 @@ def bottom_k(df: DataFrame, col: str, k: int, key: str = "listing_id") -> DataFr
 
 
 def max_min_ratio(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.min(col).alias("min"), F.max(col).alias("max")).withColumn(
+    present = F.when(known(F.col(col)).isNotNull(), F.col(col))
+    return df.agg(F.min(present).alias("min"), F.max(present).alias("max")).withColumn(
         "ratio", ratio(F.col("max"), F.col("min"))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import vocabulary as V
+from forecourt.functions.numeric import known
 from forecourt.operators.anomaly import IsolationForest, score_isolation_forest
 from forecourt.operators.catalog import valid_values_top_k
 from forecourt.operators.distribution import box_stats
@@ -61,16 +62,21 @@ def comparables_by_body(candidates: DataFrame, reference: DataFrame, years: int
 
 
 def rate_deal(df: DataFrame, listed: str = "listed_price", predicted: str = "predicted_price") -> DataFrame:
-    """Adds the difference to the prediction, in percent too, and the rating it gives."""
-    difference = F.col(listed) - F.col(predicted)
-    pct = F.when(F.col(predicted) > 0, 100 * difference / F.col(predicted)).otherwise(0.0)
+    """Adds the difference to the prediction, in percent too, and the rating it gives.
+
+    The percentage is 0 for a prediction of 0 or less. Where either price is missing, all
+    three are NULL.
+    """
+    asked, guess = known(F.col(listed)), known(F.col(predicted))
+    difference = asked - guess
+    pct = F.when(guess <= 0, difference * 0.0).otherwise(100 * F.try_divide(difference, guess))
     rating = F.lit(V.DEAL_RATING_ABOVE)
     for bound, name in reversed(V.DEAL_RATINGS):
         rating = F.when(F.col("price_diff_pct") < bound, name).otherwise(rating)
     return (
         df.withColumn("price_diff", difference)
         .withColumn("price_diff_pct", pct)
-        .withColumn("deal_rating", rating)
+        .withColumn("deal_rating", F.when(F.col("price_diff_pct").isNotNull(), rating))
     )
 
 
@@ -87,7 +93,7 @@ def validate_configuration(candidates: DataFrame, reference: DataFrame, k: int =
     """Adds the broken rules and whether there are none; an unknown key skips its rule."""
     by_body = valid_values_top_k(reference, "body_type", k=k).withColumnRenamed("valid_cylinders", "_by_body")
     by_make = valid_values_top_k(reference, "make", k=k).withColumnRenamed("valid_cylinders", "_by_make")
-    known = lookup_join(lookup_join(candidates, by_body, "body_type"), by_make, "make")
+    joined = lookup_join(lookup_join(candidates, by_body, "body_type"), by_make, "make")
     cylinders = F.col("cylinders")
     rules = (
         (BODY_RULE, ~F.array_contains("_by_body", cylinders)),
@@ -97,7 +103,7 @@ def validate_configuration(candidates: DataFrame, reference: DataFrame, k: int =
     )
     broken = F.array_compact(F.array(*[F.when(test, name) for name, test in rules]))
     return (
-        known.withColumn("broken_rules", broken)
+        joined.withColumn("broken_rules", broken)
         .withColumn("is_plausible", F.size("broken_rules") == 0)
         .select(*candidates.columns, "broken_rules", "is_plausible")
     )

@@ -79,7 +79,8 @@ def save(trained: Trained, folder: str) -> None:
         sinks.save_model(model, f"{folder}/price_{_file(name)}")
     for name, model in trained.body_types.models.items():
         sinks.save_model(model, f"{folder}/bodytype_{_file(name)}")
-    sinks.save_forest(trained.forest.nodes, f"{folder}/isolation_forest")
+    sinks.save_forest(trained.forest, f"{folder}/isolation_forest")
+    sinks.save_segments(trained.segments, trained.projection, f"{folder}/segments")
     sinks.write_predictions(trained.prices.predictions, f"{folder}/regression_test_results")
     sinks.write_anomalies(trained.anomalies, f"{folder}/anomaly_results")
     sinks.write_metrics(trained.metrics, f"{folder}/metrics")

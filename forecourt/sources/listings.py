@@ -2,19 +2,20 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt import schema as S
 from forecourt import vocabulary as V
+from forecourt.functions.text import number_or_null
 from forecourt.operators.clean import GroupMedianImputer, clean_listings
 from forecourt.operators.features import engineer_listings
 from forecourt.sources.tables import spread
 
 
 def _present(c: Column) -> Column:
-    return F.when(~F.trim(c).isin(*V.CSV_MISSING), c)
+    return F.when(~c.isin(*V.CSV_MISSING), c)
 
 
 def read_listings_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -22,9 +23,8 @@ def read_listings_csv(spark: SparkSession, path: str, multiline: bool = False) -
 
     Every field is read as text, then missing-value spellings become NULL and the
     numbers are cast, so one bad field never discards its row. Files stay splittable
-    unless ``multiline`` is asked for. A file has no key, so ``listing_id`` is the
-    file name and the position Spark gives the row; it is fixed once the listings are
-    stored, which should come before any hash-based split.
+    unless ``multiline`` is asked for. A file has no key, so ``listing_id`` is a 128-bit
+    hash of the row and a number among equal rows, whatever the files and their splits.
     """
     text = T.StructType([T.StructField(c, T.StringType()) for c in S.RAW_COLUMNS])
     raw = (
@@ -41,18 +41,32 @@ def read_listings_csv(spark: SparkSession, path: str, multiline: bool = False) -
     for name in S.RAW_COLUMNS:
         kept = _present(F.col(name))
         if not isinstance(types[name], T.StringType):
-            kept = F.trim(kept).try_cast("double").try_cast(types[name])
+            kept = number_or_null(kept).try_cast(types[name])
         columns.append(kept.alias(name))
-    key = F.concat_ws(
-        "#", F.element_at(F.split(F.input_file_name(), "/"), -1),
-        F.monotonically_increasing_id().cast("string"),
-    )
-    return raw.select(key.alias("listing_id"), *columns)
+    rows = raw.select(*columns)
+    hashes = [F.xxhash64(F.lit(salt), *S.RAW_COLUMNS) for salt in (0, 1)]
+    rows = rows.withColumns({"_h": hashes[0], "_g": hashes[1]})
+    # Equal rows are interchangeable, so any order among them gives the same listings.
+    number = F.row_number().over(Window.partitionBy("_h", "_g").orderBy(F.lit(0)))
+    key = F.concat_ws("-", F.hex("_h"), F.hex("_g"), number.cast("string"))
+    return rows.select(key.alias("listing_id"), *S.RAW_COLUMNS)
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
-    """Raw listings stored as Parquet."""
-    return spread(spark.read.schema(S.RAW).parquet(path), "listing_id")
+    """Raw listings stored as Parquet; NaN is NULL."""
+    stored = spark.read.schema(S.RAW).parquet(path)
+    floats = {f.name: F.nanvl(f.name, F.lit(None)) for f in S.RAW.fields if isinstance(f.dataType, T.DoubleType)}
+    return spread(stored.withColumns(floats), "listing_id")
+
+
+def write_layer(listings: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store a layer (raw, clean or engineered), so that later steps read what they need of it."""
+    listings.write.mode(mode).parquet(path)
+
+
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """A stored layer, under the schema that it was written with."""
+    return spread(spark.read.parquet(path), "listing_id")
 
 
 def clean_layer(raw: DataFrame, imputer: GroupMedianImputer | None = None) -> DataFrame:

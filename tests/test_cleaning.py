@@ -83,3 +83,28 @@ def test_no_python_in_the_engineered_plan(engineered):
     engineered.persist()
     assert "Python" not in plan
     assert engineered.select(F.countDistinct("listing_id")).first()[0] == engineered.count()
+
+
+def test_csv_keys_and_odd_numbers(spark, tmp_path):
+    from forecourt import schema as S
+    from forecourt.sources import listings
+
+    def line(price, mileage, location, make="bmw"):
+        given = {"make": make, "price": price, "mileage": mileage, "location": location}
+        return ",".join(given.get(c, "1") for c in S.RAW_COLUMNS)
+
+    body = [line("12d", "1f", " NA"), line("NAN", "5", "NA"), line("7", "8", "x"), line("7", "8", "x")]
+    body += [line(str(k), str(k), "y") for k in range(200)]
+    (tmp_path / "one.csv").write_text("\n".join([",".join(S.RAW_COLUMNS), *body]) + "\n")
+    read = lambda: sorted((tuple(r) for r in listings.read_listings_csv(spark, str(tmp_path / "one.csv")).collect()), key=repr)
+    whole = read()
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert read() == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert len({r[0] for r in whole}) == 204
+    rows = [r for r in listings.read_listings_csv(spark, str(tmp_path / "one.csv")).collect() if r.price is None]
+    assert sorted((r.location or "") for r in rows) == ["", " NA"]
+    assert [r.mileage for r in rows if r.location] == [None]

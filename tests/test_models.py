@@ -136,8 +136,11 @@ def test_isolation_forest(spark, engineered, tmp_path):
     again = anomaly.fit_isolation_forest(rows.repartition(3), trees=100)
     assert again.offset == pytest.approx(forest.offset)
     path = str(tmp_path / "forest")
-    sinks.save_forest(forest.nodes, path)
-    assert sinks.load_forest(spark, path).count() == forest.nodes.count()
+    sinks.save_forest(forest, path)
+    loaded = sinks.load_forest(spark, path)
+    assert (loaded.features, loaded.sample, loaded.offset) == (forest.features, forest.sample, forest.offset)
+    score = lambda f: sorted(r.anomaly_score for r in anomaly.score_isolation_forest(rows, f).collect())
+    assert score(loaded) == score(forest)
     rows.unpersist()
 
 
@@ -145,3 +148,41 @@ def test_samples_per_tree_are_full(spark):
     df = spark.range(20_000).select(F.col("id").cast("string").alias("listing_id"), F.rand(1).alias("price"))
     drawn = anomaly.tree_samples(df, 20_000, ["price"], 20, 256, 1, "listing_id")
     assert {r["count"] for r in drawn.groupBy("tree").count().collect()} == {256}
+
+
+def test_segments_survive_storage(spark, engineered, tmp_path):
+    from forecourt.sources import sinks
+
+    found = segment.kmeans_sweep(engineered, ks=(2,), n_init=1)
+    plane = segment.fit_projection(engineered)
+    sinks.save_segments(found, plane, str(tmp_path / "segments"))
+    again, flat = sinks.load_segments(spark, str(tmp_path / "segments"))
+    place = lambda s, p: sorted(
+        tuple(r) for r in p.transform(
+            segment.assign_cluster(engineered, list(s.scaler.means), s.centers, s.scaler)
+        ).select("listing_id", "cluster", "pc1", "pc2").collect()
+    )
+    assert place(again, flat) == place(found, plane)
+
+
+def test_missing_features_have_no_cluster_and_no_score(spark):
+    from forecourt.operators import anomaly
+
+    rows = [(str(i), float(i), None if i == 3 else float("nan") if i == 4 else float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(rows, "listing_id string, a double, b double")
+    placed = {r.listing_id: r.cluster for r in segment.assign_cluster(df, ["a", "b"], [[0.0, 0.0], [50.0, 3.0]]).collect()}
+    assert placed["3"] is None and placed["4"] is None and placed["59"] == 1 and placed["0"] == 0
+    forest = anomaly.fit_isolation_forest(df, trees=20, features=["a", "b"])
+    scored = {r.listing_id: r for r in anomaly.score_isolation_forest(df, forest).collect()}
+    assert scored["3"].anomaly_score is None and scored["4"].is_anomaly is None
+    assert forest.sample == 58 and scored["0"].anomaly_score is not None
+
+
+def test_every_row_may_enter_every_tree(spark):
+    from forecourt.operators import anomaly
+
+    df = spark.range(20_000).selectExpr("cast(id as string) listing_id", "cast(id as double) a")
+    drawn = anomaly.tree_samples(df, 20_000, ["a"], 50, 64, 1, "listing_id").select("tree", "_key", "a").toPandas()
+    assert (drawn.groupby("tree").size() == 64).all()
+    assert not drawn.duplicated(["tree", "_key"]).any()
+    assert abs(drawn["a"].mean() - 10_000) < 600 and drawn["_key"].nunique() > 2500

@@ -113,3 +113,11 @@ def test_exploration_exhibits_are_lazy_and_complete(spark, engineered, clean):
     for name in ("price_histogram", "colors_by_place", "composition", "most_expensive"):
         assert not found[name]().isEmpty()
     assert not exploration.overview(base.raw(spark, FOLDER), clean)["missing"]().isEmpty()
+
+
+def test_a_missing_price_has_no_rating(spark):
+    rows = [(None, 10.0), (10.0, None), (float("nan"), 10.0), (10.0, 0.0), (10.0, 10.0)]
+    df = spark.createDataFrame(rows, "listed_price double, predicted_price double").coalesce(1)
+    found = [(r.price_diff_pct, r.deal_rating) for r in scoring.rate_deal(df).collect()]
+    assert found[:3] == [(None, None)] * 3
+    assert found[3] == (0.0, "Fair Price") and found[4] == (0.0, "Fair Price")

@@ -136,3 +136,19 @@ def test_filters_reach_the_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/part.parquet").withColumnRenamed("p_brand", "make")
     plan = profile.filter_listings(df, ["Brand#1"])._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(p_brand), EqualTo(p_brand,Brand#1)]" in plan
+
+
+def test_nan_is_missing_in_order_and_outliers(spark):
+    rows = [(str(i), float(v)) for i, v in enumerate([1, 2, 3, 10, 4, 5, 300])] + [("n", float("nan")), ("m", None)]
+    df = spark.createDataFrame(rows, "listing_id string, price double")
+    assert [r.price for r in distribution.top_k(df, "price", 2).collect()] == [300.0, 10.0]
+    assert distribution.max_min_ratio(df, "price").first().ratio == 300.0
+    assert [r.price for r in distribution.iqr_outliers(df, "price").collect()] == [300.0]
+    assert distribution.outlier_summary(df, "price").first().max_upper == 300.0
+
+
+def test_flat_groups_keep_a_point_without_density(spark):
+    df = spark.createDataFrame([("a", 5.0), ("b", 1.0), ("b", 1.0), ("c", 1.0), ("c", 3.0), ("c", 4.0)], "g string, v double")
+    found = distribution.density_curve(df, "v", "g", grid=10, bins=16).collect()
+    assert {(r.g, r.x, r.density) for r in found if r.g != "c"} == {("a", 5.0, None), ("b", 1.0, None)}
+    assert sum(r.g == "c" for r in found) == 10
