@@ -192,9 +192,10 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample: int
     wanted = known.orderBy(order, id_col).limit(sample)
     features = [F.expr(e).cast("double").alias(name) for name, e in FEATURES.items()]
     rows = stats.where(~base_failed()).join(F.broadcast(wanted), id_col)
-    rows = rows.select(order.alias("__o"), id_col, "key", *features, (F.col("__q") == 0).alias("bad")).toPandas()
-    rows = rows.drop_duplicates([id_col, "key"]).sort_values(["__o", id_col, "key"])
-    return learn(rows.drop(columns=["__o", id_col, "key"]))
+    # One text for each id, that of the least hash, so that repeated ids can't exceed the bound.
+    rows = rows.groupBy(id_col, "__q").agg(F.min(F.struct("key", *features)).alias("f"))
+    rows = rows.select(order.alias("__o"), id_col, *[f"f.{c}" for c in FEATURES], (F.col("__q") == 0).alias("bad")).toPandas()
+    return learn(rows.sort_values(["__o", id_col]).drop(columns=["__o", id_col]))
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -169,8 +169,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     ids = fair[fair["share"] < 0.5] if "share" in fair else fair
     if ids.empty:
         return [], []
-    few = docs.sparkSession.createDataFrame(ids[[id_col, "toxic"]])
-    rows = docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(few), id_col).toPandas().drop_duplicates(id_col).sort_values(id_col)
+    few = F.broadcast(docs.sparkSession.createDataFrame(ids[[id_col, "toxic"]]))
+    rows = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(few, id_col)
+    # One text for each id, the least, so that repeated ids can't exceed the bound.
+    rows = rows.where("text != ''").groupBy(id_col, "toxic").agg(F.min("text").alias("text")).toPandas().sort_values(id_col)
     return rows[rows["toxic"] == 1]["text"].tolist(), rows[rows["toxic"] == 0]["text"].tolist()
 
 
