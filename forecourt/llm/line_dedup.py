@@ -79,9 +79,10 @@ def apply_bitmaps(
     marks = bitmaps.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "n_dropped", F.col("drops").alias("__drops"))
     joined = docs.join(marks, (F.col(id_col) == F.col("__id")) & (text_key(text_col) == F.col("__key")), "left")
     lines = split_lines(text_col)
+    # Zeros fill the gap before every entry, so the work is that of the lines, however many go.
     dense = F.expr(
-        "transform(sequence(0, __drops[size(__drops) - 1].word),"
-        " w -> coalesce(try_element_at(map_from_entries(__drops), w), 0L))"
+        "flatten(transform(__drops, (d, i) -> concat("
+        "array_repeat(0L, d.word - if(i = 0, -1, __drops[i - 1].word) - 1), array(d.bits))))"
     )
     joined = joined.withColumn("__dense", F.when(F.col("n_dropped") > 0, dense))
     bits = lambda i: F.coalesce(F.get(F.col("__dense"), F.floor(i / _WORD).cast("int")), F.lit(0).cast("bigint"))
