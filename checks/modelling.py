@@ -27,13 +27,15 @@ from forecourt.operators.quantiles import median
 SMALL = {
     "Random Forest": {"numTrees": 20, "maxDepth": 5},
     "Gradient Boosting": {"maxIter": 5, "maxDepth": 4},
-    "XGBoost": {"maxIter": 5, "maxDepth": 4},
+    "Subsampled Boosting": {"maxIter": 5, "maxDepth": 4},
     K.FOREST: {"numTrees": 20, "maxDepth": 5},
     K.BOOSTING: {"maxIter": 3, "maxDepth": 3},
 }
 CATEGORICAL = list(V.CATEGORICAL_FEATURES)
 SEGMENT = list(V.SEGMENT_FEATURES)
 CENTERS = [[50000.0, 60000.0], [60000.0, 240000.0], [400000.0, 150000.0]]
+#: Features whose products with the predictions are compared.
+MOMENTS = ("year", "cylinders", "condition_score", "feature_count", "is_luxury", "log_mileage")
 BODIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
@@ -169,6 +171,28 @@ def _forest(e):
     return A.fit_isolation_forest(e, contamination=None).nodes
 
 
+def partly_missing(df, column):
+    """``column`` without its values where the year is divisible by three."""
+    return df.withColumn(column, F.when(F.col("year") % 3 != 0, F.col(column)))
+
+
+def _normal_equations(e):
+    """Moments of the predictions with the features, which least squares makes those of the label."""
+    train, _ = prep.split(e)
+    scored = L.train_regression(e, ["Linear Regression"], cv_folds=0).models["Linear Regression"].transform(train)
+    products = [F.struct(F.lit(c).alias("feature"), (F.col("prediction") * F.col(c)).alias("p")) for c in MOMENTS]
+    rows = scored.select(F.explode(F.array(*products)).alias("m")).select("m.*")
+    return rows.groupBy("feature").agg(F.avg("p").alias("moment"))
+
+
+def _stump(e):
+    """One boosting step of depth one on a two-valued feature: the label's mean on either side."""
+    rows = VectorAssembler(inputCols=["is_luxury"], outputCol="features").transform(e)
+    factory = L.estimators({"Gradient Boosting": {"maxIter": 1, "maxDepth": 1}})["Gradient Boosting"]
+    scored = factory(rows).fit(rows).transform(rows)
+    return scored.groupBy("is_luxury").agg(F.avg("prediction").alias("prediction"), F.count("*").alias("n"))
+
+
 def _scored(e):
     forest = A.fit_isolation_forest(e)
     return A.anomaly_table(A.score_isolation_forest(e, forest))
@@ -192,12 +216,14 @@ QUERIES = {
     "compare_models": eng(_compared),
     "feature_importance": eng(_importance),
     "linear_regression": eng(_ols),
+    "linear_regression_moments": eng(_normal_equations, 3),
+    "boosting_stump": eng(_stump),
     "ridge_regression": eng(_ridge),
     "lasso_regression": eng(_trained("Lasso Regression")),
     "train_linear_models": eng(_trained("Linear Regression", "Ridge Regression")),
     "random_forest_regression": eng(_boosted("Random Forest")),
     "gradient_boosting_regression": eng(_boosted("Gradient Boosting")),
-    "subsampled_boosting_regression": eng(_boosted("XGBoost")),
+    "subsampled_boosting_regression": eng(_boosted("Subsampled Boosting")),
     "restrict_classes": eng(lambda e: K.restrict_classes(e, 4).select("listing_id", "body_type")),
     "random_forest_classifier": eng(_classified(K.FOREST)),
     "gradient_boosting_classifier": eng(_classified(K.BOOSTING)),
@@ -205,6 +231,8 @@ QUERIES = {
     "kmeans_sweep": eng(lambda e: U.kmeans_sweep(e, n_init=1).sweep),
     "silhouette": eng(_silhouette),
     "assign_cluster": eng(lambda e: U.assign_cluster(e, ["price", "mileage"], CENTERS).select("listing_id", "cluster")),
+    "assign_cluster_missing": eng(lambda e: U.assign_cluster(
+        partly_missing(e, "mileage"), ["price", "mileage"], CENTERS).select("listing_id", "cluster")),
     "pca_project_pair": eng(_pca_pair),
     "pca_project": eng(lambda e: U.pca_project(e).select("listing_id", "pc1", "pc2")),
     "cluster_profiles": eng(_profiles),
@@ -215,12 +243,13 @@ QUERIES = {
     "anomaly_summary": eng(lambda e: A.anomaly_summary(fixed_scores(e))),
     "top_anomalies": eng(lambda e: A.top_anomalies(fixed_scores(e)).select("rank", "listing_id", "price", "anomaly_score")),
     "local_regression_plain": eng(lambda e: smoothing.local_regression(e, "year", "price", iters=0), 4),
+    "local_regression_many": eng(lambda e: smoothing.local_regression(e, "mileage_per_year", "price", iters=0), 4),
     "local_regression": eng(lambda e: smoothing.local_regression(e, "mileage_per_year", "price")),
 }
 
-_SHARE = "CAST(concat('0x', substr(md5(concat('42|', listing_id)), 1, 8)) AS BIGINT) / 4294967296.0"
+SHARE = "CAST(concat('0x', substr(md5(concat('42|', listing_id)), 1, 8)) AS BIGINT) / 4294967296.0"
 _FOLD = "CAST(floor(5 * CAST(concat('0x', substr(md5(concat('7|', listing_id)), 1, 8)) AS BIGINT) / 4294967296.0) AS INT)"
-_SPLIT = f", parts AS (SELECT *, {_SHARE} AS share, {_SHARE} < 0.8 AS is_train FROM eng)"
+_SPLIT = f", parts AS (SELECT *, {SHARE} AS share, {SHARE} < 0.8 AS is_train FROM eng)"
 _PRED = _SPLIT + """, guess AS (SELECT make, quantile_cont(price, 0.5) AS g FROM parts WHERE is_train GROUP BY make),
 logged AS (SELECT p.*, ln(1 + g) AS predicted_log FROM parts p JOIN guess USING (make) WHERE NOT is_train),
 pred AS (SELECT listing_id, price AS actual, greatest(exp(predicted_log) - 1, 0) AS predicted, log_price AS actual_log, predicted_log FROM logged)"""
@@ -270,6 +299,20 @@ _PROFILE = """p AS (SELECT is_luxury AS cluster, count(*) AS count, round_even(a
  round_even(avg(cylinders) * 10, 0) / 10 AS avg_cylinders, round_even(100 * avg(is_luxury) * 10, 0) / 10 AS luxury_pct FROM eng GROUP BY 1)"""
 _FIXED = ", s AS (SELECT *, 12.3 - log_price AS anomaly_score, 12.3 - log_price < 0 AS is_anomaly FROM eng)"
 
+def _lowess(x):
+    """LOWESS without robustness at the quantiles of ``x``, over counts and sums per distinct value."""
+    return f""", c AS (SELECT CAST({x} AS DOUBLE) AS x, count(*) AS n, sum(price) AS sy FROM eng GROUP BY 1),
+s AS (SELECT list(CAST({x} AS DOUBLE) ORDER BY {x}) AS v, count(*) AS total FROM eng),
+p AS (SELECT v, CAST(i AS DOUBLE) / {smoothing.NODES - 1} * (total - 1) AS pos FROM s, range({smoothing.NODES}) r(i)),
+q AS (SELECT DISTINCT v[CAST(floor(pos) AS INT) + 1] + (v[CAST(ceil(pos) AS INT) + 1] - v[CAST(floor(pos) AS INT) + 1]) * (pos - floor(pos)) AS x0 FROM p),
+d AS (SELECT x0, n, sy, x - x0 AS t, abs(x - x0) AS d, sum(n) OVER (PARTITION BY x0 ORDER BY abs(x - x0), x) AS cum FROM q, c),
+h AS (SELECT x0, min(d) AS h FROM d WHERE cum >= (SELECT floor(count(*) * 2 / 3.0) FROM eng) GROUP BY x0),
+k AS (SELECT d.*, CASE WHEN d <= 0.001 * h THEN 1 WHEN d >= 0.999 * h THEN 0 ELSE (1 - (d / h) ** 3) ** 3 END AS w FROM d JOIN h USING (x0)),
+m AS (SELECT x0, sum(n) FILTER (WHERE w > 0) AS n, sum(w * n * t) / sum(w * n) AS mt, sum(w * sy) / sum(w * n) AS my FROM k GROUP BY x0),
+l AS (SELECT x0, sum(w * k.n * (t - mt) ** 2) AS stt, sum(w * (t - mt) * (sy - k.n * my)) AS sty FROM k JOIN m USING (x0) GROUP BY x0)
+SELECT round(x0, 4) AS x, round(my - sty / stt * mt, 4) AS fitted, CAST(n AS BIGINT) AS n FROM l JOIN m USING (x0)"""
+
+
 ORACLES = {
     "standardize": B.over_engineered("SELECT listing_id, " + ", ".join(
         f"round({_z(c)}, 6) AS {c}_z" for c in SEGMENT) + " FROM eng"),
@@ -334,11 +377,12 @@ ORACLES = {
         "round_even(100.0 * count(*) FILTER (WHERE is_anomaly) / count(*) * 10, 0) / 10 AS pct_anomalies FROM s"),
     "top_anomalies": B.over_engineered(_FIXED + " SELECT CAST(row_number() OVER (ORDER BY anomaly_score, listing_id) AS INT) AS rank, listing_id, "
         "round(price, 6) AS price, floor(round_even(anomaly_score * 10000, 0) / 10000 * 1e6 + 0.50037) / 1e6 AS anomaly_score FROM s WHERE is_anomaly ORDER BY anomaly_score, listing_id LIMIT 20"),
-    "local_regression_plain": B.over_engineered(""", c AS (SELECT year AS x, count(*) AS n, sum(price) AS sy FROM eng GROUP BY year),
-d AS (SELECT a.x AS x0, b.x AS x, b.n, b.sy, abs(a.x - b.x) AS d, sum(b.n) OVER (PARTITION BY a.x ORDER BY abs(a.x - b.x), b.x) AS cum FROM c a, c b),
-h AS (SELECT x0, min(d) AS h FROM d WHERE cum >= (SELECT floor(count(*) * 2 / 3.0) FROM eng) GROUP BY x0),
-k AS (SELECT d.*, CASE WHEN d <= 0.001 * h THEN 1 WHEN d >= 0.999 * h THEN 0 ELSE (1 - (d / h) ** 3) ** 3 END AS w FROM d JOIN h USING (x0)),
-s AS (SELECT x0, sum(w * n) AS sw, sum(w * n * x) / sum(w * n) AS mx, sum(w * sy) / sum(w * n) AS my FROM k GROUP BY x0),
-l AS (SELECT x0, sum(w * n * (x - mx) ** 2) AS sxx, sum(w * (x - mx) * (sy - n * my)) AS sxy, any_value(mx) AS mx, any_value(my) AS my FROM k JOIN s USING (x0) GROUP BY x0)
-SELECT round(CAST(x0 AS DOUBLE), 4) AS x, round(my + sxy / sxx * (x0 - mx), 4) AS fitted, n FROM l JOIN c ON c.x = x0"""),
+    "local_regression_plain": B.over_engineered(_lowess("year")),
+    "local_regression_many": B.over_engineered(_lowess("mileage_per_year")),
+    "linear_regression_moments": B.over_engineered(_SPLIT + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg(log_price * {c}), 3) AS moment FROM parts WHERE is_train" for c in MOMENTS)),
+    "boosting_stump": B.over_engineered(
+        "SELECT is_luxury, round(avg(log_price), 6) AS prediction, count(*) AS n FROM eng GROUP BY is_luxury"),
+    "assign_cluster_missing": B.over_engineered(f", t AS (SELECT listing_id, year, {_DIST} FROM eng) SELECT listing_id, "
+        "CAST(CASE WHEN year % 3 = 0 THEN NULL WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INT) AS cluster FROM t"),
 }

@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from checks import base as B
-from checks.modelling import SMALL
+from checks.modelling import CENTERS, SHARE, SMALL, partly_missing
+from forecourt import schema as S
 from forecourt.operators import anomaly as A
 from forecourt.operators import catalog as C
 from forecourt.operators import regress as L
 from forecourt.operators import scoring as X
 from forecourt.operators import segment as U
 from forecourt.operators.lookup import lookup_join
+from forecourt.operators.prep import Scaler
 from forecourt.operators.quantiles import median
 from forecourt.sources.tables import ECONOMY_MAKES, LUXURY_MAKES
 
@@ -64,6 +66,42 @@ def _predicted(e):
     return L.predict_price(e, _price_model(e)).select("listing_id", "predicted_price")
 
 
+def _constant_model(e):
+    """A penalty that leaves no coefficient: the mean of the train split's label."""
+    return L.train_regression(e, ["Lasso Regression"], cv_folds=0).models["Lasso Regression"]
+
+
+def _rated_in_part(c):
+    asked = partly_missing(candidates(c), "listed_price")
+    guesses = lookup_join(asked, median(c, "price", "make", "predicted_price"), "make")
+    return X.rate_deal(guesses).select("listing_id", "price_diff", "price_diff_pct", "deal_rating")
+
+
+#: Two small trees over price and mileage: tree, node, feature (-1: leaf), threshold, left, right, path.
+_TREES = [
+    (0, 0, 0, 60000.0, 1, 2, 0.0), (0, 1, -1, 0.0, 1, 1, 12.0), (0, 2, 1, 150000.0, 3, 4, 0.0),
+    (0, 3, -1, 0.0, 3, 3, 9.5), (0, 4, -1, 0.0, 4, 4, 2.0),
+    (1, 0, 1, 30000.0, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 5.0), (1, 2, -1, 0.0, 2, 2, 14.0),
+]
+
+
+def _fixed_forest(e):
+    nodes = e.sparkSession.createDataFrame(_TREES, S.ISOLATION_NODES)
+    forest = A.IsolationForest(nodes, ["price", "mileage"], A.SAMPLE, -0.5)
+    asked = partly_missing(e.withColumn("listed_price", F.col("price")), "listed_price")
+    return X.flag_deal_anomaly(asked, forest).select("listing_id", "anomaly_score", "is_anomaly")
+
+
+def _fixed_segments(e):
+    """Segments, plane and profiles given; only the prediction is fitted."""
+    unscaled = lambda *cols: Scaler(dict.fromkeys(cols, 0.0), dict.fromkeys(cols, 1.0))
+    segments = U.SegmentModel(unscaled("price", "mileage"), CENTERS, None, len(CENTERS))
+    plane = U.Projection(unscaled("cylinders", "car_age"), [[0.5, 0.25], [-1.0, 0.125]], [])
+    profiles = e.sparkSession.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "cluster int, segment_name string")
+    placed = X.assign_segment(e.drop("price"), _constant_model(e), segments, plane, profiles)
+    return placed.select("listing_id", "predicted_price", "cluster", "segment_name", "pc1", "pc2")
+
+
 def _deal_anomalies(e):
     forest = A.fit_isolation_forest(e)
     asked = e.withColumn("listed_price", F.col("price") * 1.2)
@@ -88,6 +126,10 @@ QUERIES = {
     "comparables_stats": query(_comparables),
     "comparables_by_body": query(_by_body),
     "rate_deal": query(_rated),
+    "predict_price_constant": engineered(lambda e: L.predict_price(e, _constant_model(e)).select("listing_id", "predicted_price")),
+    "rate_deal_missing": query(_rated_in_part),
+    "flag_deal_anomaly_fixed": engineered(_fixed_forest),
+    "assign_segment_fixed": engineered(_fixed_segments),
     "flag_deal_anomaly": engineered(_deal_anomalies),
     "valid_values_body": query(lambda c: _listed(C.valid_values_top_k(c, "body_type"))),
     "valid_values_make": query(lambda c: _listed(C.valid_values_top_k(c, "make"))),
@@ -135,7 +177,26 @@ SELECT listing_id, n AS n_comparables, outside AS n_outliers, """ + ", ".join(f"
 
 _CATALOG = " UNION ".join(f"SELECT '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM clean" for c in C.FIELDS)
 
+_RATING = """round(diff, 6) AS price_diff, round(pct, 6) AS price_diff_pct, CASE WHEN pct < -15 THEN 'Excellent Deal'
+ WHEN pct < -5 THEN 'Good Deal' WHEN pct < 5 THEN 'Fair Price' WHEN pct < 15 THEN 'Slightly Overpriced' WHEN pct >= 15 THEN 'Overpriced' END AS deal_rating"""
+_GUESS = f", guess AS (SELECT exp(avg(log_price)) - 1 AS g FROM eng WHERE {SHARE} < 0.8)"
+_NORM = "(2 * (ln(255) + 0.5772156649015329) - 2 * 255 / 256.0)"
+
 ORACLES = {
+    "predict_price_constant": B.over_engineered(_GUESS + " SELECT listing_id, round(g, 6) AS predicted_price FROM eng, guess"),
+    "rate_deal_missing": B.over_clean(""", g AS (SELECT make, quantile_cont(price, 0.5) AS p FROM clean GROUP BY make),
+a AS (SELECT listing_id, make, CASE WHEN year % 3 <> 0 THEN price END AS asked FROM clean),
+t AS (SELECT listing_id, asked - p AS diff, 100 * (asked - p) / p AS pct FROM a JOIN g USING (make))
+SELECT listing_id, """ + _RATING + " FROM t"),
+    "flag_deal_anomaly_fixed": B.over_engineered(f""", a AS (SELECT listing_id, mileage, CASE WHEN year % 3 <> 0 THEN price END AS asked FROM eng),
+t AS (SELECT listing_id, asked, CASE WHEN asked <= 60000 THEN 12 WHEN mileage <= 150000 THEN 9.5 ELSE 2 END + CASE WHEN mileage <= 30000 THEN 5 ELSE 14 END AS path FROM a),
+s AS (SELECT listing_id, CASE WHEN asked IS NOT NULL THEN 0.5 - 2 ** (-path / 2.0 / {_NORM}) END AS score FROM t)
+SELECT listing_id, round(score, 6) AS anomaly_score, score < 0 AS is_anomaly FROM s"""),
+    "assign_segment_fixed": B.over_engineered(_GUESS + ", t AS (SELECT listing_id, g, cylinders, car_age, " + ", ".join(
+        f"(g - {p}) ** 2 + (mileage - {m}) ** 2 AS d{i}" for i, (p, m) in enumerate(CENTERS)) + """ FROM eng, guess),
+u AS (SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS cluster FROM t)
+SELECT listing_id, round(g, 6) AS predicted_price, CAST(cluster AS INT) AS cluster, substr('abc', cluster + 1, 1) AS segment_name,
+ round(cylinders * 0.5 + car_age * 0.25, 6) AS pc1, round(car_age * 0.125 - cylinders, 6) AS pc2 FROM u"""),
     "candidate_features": B.over_engineered(
         "SELECT listing_id, car_age, round(mileage_per_year, 6) AS mileage_per_year, round(log_mileage, 6) AS log_mileage, "
         "condition_score, feature_count, is_luxury, has_sunroof, has_bluetooth FROM eng"),

@@ -14,7 +14,6 @@ from forecourt import vocabulary as V
 from forecourt.operators import evaluate, prep
 
 LABEL = "log_price"
-TREE_MODELS = ("XGBoost", "Gradient Boosting", "Random Forest")
 
 # Model sizes and penalties.
 RIDGE_ALPHA = 10.0
@@ -22,8 +21,9 @@ LASSO_ALPHA = 100.0
 SIZES = {
     "Random Forest": {"numTrees": 300, "maxDepth": 25},
     "Gradient Boosting": {"maxIter": 300, "maxDepth": 8},
-    "XGBoost": {"maxIter": 400, "maxDepth": 10},
+    "Subsampled Boosting": {"maxIter": 400, "maxDepth": 10},
 }
+TREE_MODELS = tuple(SIZES)
 
 
 def ols(label: str = LABEL) -> LinearRegression:

@@ -1,5 +1,7 @@
 """Session set-up and the folder for lineage cuts."""
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, for clusters that don't have it installed."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="forecourt-package-"), "forecourt")
+    archive = shutil.make_archive(target, "zip", os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for lineage cuts and written tables.
 

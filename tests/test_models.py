@@ -10,7 +10,7 @@ from forecourt.sources import sinks
 SMALL = {
     "Random Forest": {"numTrees": 10, "maxDepth": 5},
     "Gradient Boosting": {"maxIter": 3, "maxDepth": 4},
-    "XGBoost": {"maxIter": 3, "maxDepth": 4},
+    "Subsampled Boosting": {"maxIter": 3, "maxDepth": 4},
     classify.FOREST: {"numTrees": 10, "maxDepth": 5},
     classify.BOOSTING: {"maxIter": 2, "maxDepth": 3},
 }

@@ -93,43 +93,43 @@ def test_absent_categories_stay(spark):
     assert [r.median_price for r in rows] == [1.0, None, None, None, None, None]
 
 
-def lowess(x, y, frac, iters):
-    """Row-by-row definition, quadratic in rows."""
-    n, k = len(x), int(frac * len(x) + 1e-10)
-    robust = np.ones(n)
+def lowess(x, y, frac, iters, nodes=smoothing.NODES):
+    """Nodes and fitted values row by row: the definition written down."""
+    at = np.unique(np.quantile(x, np.arange(nodes) / (nodes - 1)))
+    k, robust = max(1, int(frac * len(x) + 1e-10)), np.ones(len(x))
     for step in range(iters + 1):
-        fit = np.empty(n)
-        for i in range(n):
-            d = np.abs(x - x[i])
+        fit = np.empty(len(at))
+        for i, x0 in enumerate(at):
+            d = np.abs(x - x0)
             u = d / np.sort(d)[k - 1]
             w = robust * np.where(u <= 0.001, 1, np.where(u >= 0.999, 0, (1 - np.minimum(u, 1) ** 3) ** 3))
             mx, my = np.average(x, weights=w), np.average(y, weights=w)
-            fit[i] = my + (w * (x - mx) * (y - my)).sum() / (w * (x - mx) ** 2).sum() * (x[i] - mx)
-        u = np.abs(y - fit) / (6 * np.median(np.abs(y - fit)))
+            fit[i] = my + (w * (x - mx) * (y - my)).sum() / (w * (x - mx) ** 2).sum() * (x0 - mx)
+        r = np.abs(y - np.interp(x, at, fit))
+        u = r / (6 * np.median(r))
         robust = np.where(u < 1, (1 - u**2) ** 2, 0)
-    return fit
+    return at, fit
 
 
 @pytest.mark.parametrize("iters", [0, 2])
-def test_local_regression_is_lowess_on_distinct_values(spark, iters):
+@pytest.mark.parametrize("many", [False, True])
+def test_local_regression_is_lowess_at_its_nodes(spark, iters, many):
     rng = np.random.default_rng(5)
-    x = np.repeat(np.arange(12.0), 8)
-    y = np.sin(x / 3) + rng.normal(0, 0.2, len(x))
+    x = np.sort(rng.random(600)) if many else np.repeat(np.arange(12.0), 8)
+    y = np.sin(4 * x if many else x / 3) + rng.normal(0, 0.2, len(x))
     y[::17] += 5
-    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, y double")
+    rows = list(zip(x.tolist(), y.tolist())) + [(None, 1.0), (2.0, None), (float("nan"), 3.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
     got = smoothing.local_regression(df, "x", "y", iters=iters).orderBy("x").toPandas()
-    want = lowess(x, y, 2 / 3, iters)[::8]
-    assert got.fitted.to_numpy() == pytest.approx(want, abs=1e-6)
-
-
-def test_local_regression_on_many_values_is_close(spark):
-    rng = np.random.default_rng(6)
-    x = np.sort(rng.random(600))
-    y = np.sin(4 * x) + rng.normal(0, 0.1, 600)
-    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, y double")
-    got = smoothing.local_regression(df, "x", "y", cells=100).toPandas().sort_values("x")
-    want = np.interp(got.x, x, lowess(x, y, 2 / 3, 3))
-    assert np.abs(got.fitted - want).max() < 0.02
+    at, want = lowess(x, y, 2 / 3, iters)
+    assert got.x.to_numpy() == pytest.approx(at) and got.fitted.to_numpy() == pytest.approx(want, abs=1e-6)
+
+
+def test_local_regression_of_nothing_and_of_one_place(spark):
+    empty = spark.createDataFrame([], "x double, y double")
+    assert smoothing.local_regression(empty, "x", "y").collect() == []
+    flat = spark.createDataFrame([(3.0, 1.0), (3.0, 2.0)], "x double, y double")
+    assert [tuple(r) for r in smoothing.local_regression(flat, "x", "y").collect()] == [(3.0, 1.5, 2)]
 
 
 def test_filters_reach_the_scan(spark):
