@@ -169,7 +169,8 @@ def raw_scores(df: DataFrame, forest: IsolationForest) -> DataFrame:
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         t = packed.value
         for columns in batches:
-            x = np.column_stack([c.to_numpy(float) for c in columns])
+            parts = columns if isinstance(columns, tuple) else (columns,)  # one feature comes bare
+            x = np.column_stack([c.to_numpy(float) for c in parts])
             every = np.arange(len(x))
             total = np.zeros(len(x))
             for root in t["roots"]:

@@ -28,6 +28,7 @@ CELL_ROWS = 2_000_000
 _CELLS_PER_LOG_UNIT = 256
 _SUBCELLS = 4096
 _MAX_ROUNDS = 6
+_WIDE = 16
 
 _VALUE, _WEIGHT, _N, _WANTED = "_value", "_weight", "_n", "_wanted"
 _LOW, _HIGH, _ALL = "_low", "_high", "_all"
@@ -46,15 +47,18 @@ def _sub_cell(value: Column) -> Column:
 
 def _positions(ps: Sequence[float], total: Column) -> Column:
     """The two neighbouring 0-based ranks of every quantile, with the weight between."""
-    ranks = []
-    for i, p in enumerate(ps):
-        at = F.lit(float(p)) * (total - 1)
-        for side, rank in ((0, F.floor(at)), (1, F.ceil(at))):
-            ranks.append(F.struct(
-                F.lit(i).alias("i"), F.lit(side).alias("side"),
-                rank.cast("bigint").alias("rank"), (at - F.floor(at)).alias("weight"),
-            ))
-    return F.array(*ranks)
+
+    def ranks(p: Column, i: Column) -> Column:
+        at = p * (total - 1)
+        return F.array(*[
+            F.struct(
+                i.alias("i"), F.lit(side).alias("side"), rank.cast("bigint").alias("rank"),
+                (at - F.floor(at)).alias("weight"),
+            )
+            for side, rank in ((0, F.floor(at)), (1, F.ceil(at)))
+        ])
+
+    return F.flatten(F.transform(F.array(*[F.lit(float(p)) for p in ps]), ranks))
 
 
 def _locate(counts: DataFrame, keys: Sequence[str], order: str,
@@ -69,7 +73,7 @@ def _locate(counts: DataFrame, keys: Sequence[str], order: str,
     )
     if _WANTED not in counts.columns:
         total = F.sum(_N).over(Window.partitionBy(*keys))
-        counts = counts.withColumn(_WANTED, _positions(ps, total))
+        counts = counts.withColumn("_total", total).withColumn(_WANTED, _positions(ps, F.col("_total"))).drop("_total")
     start, end = F.col("_end") - F.col(_N), F.col("_end")
     held = F.filter(_WANTED, lambda w: (w["rank"] >= start) & (w["rank"] < end))
     return (
@@ -83,6 +87,15 @@ def _locate(counts: DataFrame, keys: Sequence[str], order: str,
 
 def _interpolate(picked: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     rows = picked.select(*keys, F.col(_VALUE), F.explode(_WANTED).alias("w"))
+    if len(names) > _WIDE:
+        # Two entries per quantile in the order of (i, side); so many aggregates would compile for long.
+        entry = F.struct("w.i", "w.side", F.col(_VALUE).alias("v"), "w.weight")
+        listed = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("e"))
+        lows = F.filter("e", lambda x: x["side"] == 0)
+        highs = F.filter("e", lambda x: x["side"] == 1)
+        values = F.zip_with(lows, highs, lambda a, b: a["v"] + (b["v"] - a["v"]) * a["weight"])
+        listed = listed.select(*keys, values.alias("e"))
+        return listed.select(*keys, *[F.get("e", i).alias(name) for i, name in enumerate(names)])
     columns = []
     for i, name in enumerate(names):
         mine = F.col("w.i") == i

@@ -17,7 +17,7 @@ _SUMS = ("w", "wt", "wy", "wtt", "wty")
 
 
 def _doubles(values: Sequence[float | None]) -> Column:
-    return F.array(*[F.lit(v).cast("double") for v in values])
+    return F.expr(f"array({', '.join('CAST(NULL AS DOUBLE)' if v is None else f'{v!r}D' for v in values)})")
 
 
 def _beside(per_x: DataFrame, nodes: Sequence[float], widths: Sequence[float]) -> DataFrame:
@@ -31,7 +31,7 @@ def _bandwidths(counts: DataFrame, nodes: Sequence[float], nearest: int, total:
     """Distance from every node to its ``nearest``-th nearest row, an exact order statistic."""
     distances = _beside(counts, nodes, nodes).withColumn("d", F.abs("t"))
     rank = (nearest - 1) / max(total - 1, 1)
-    found = quantiles(distances, "d", {"h": rank}, "node", weight="n").collect()
+    found = quantiles(distances, "d", {"h": rank}, "node", weight="n").collect()  # a row per node
     return [row["h"] for row in sorted(found, key=lambda r: r["node"])]
 
 

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -186,3 +190,26 @@ def test_every_row_may_enter_every_tree(spark):
     assert (drawn.groupby("tree").size() == 64).all()
     assert not drawn.duplicated(["tree", "_key"]).any()
     assert abs(drawn["a"].mean() - 10_000) < 600 and drawn["_key"].nunique() > 2500
+
+
+_ELSEWHERE = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from forecourt.operators import anomaly
+from forecourt.session import local_session, ship
+spark = local_session(2, 2)
+ship(spark)
+df = spark.range(300).select(F.col("id").cast("string").alias("listing_id"), (F.col("id") % 50).cast("double").alias("price"))
+forest = anomaly.fit_isolation_forest(df, trees=3, sample=16, features=["price"])
+print("rows", anomaly.score_isolation_forest(df, forest).where("anomaly_score IS NOT NULL").count())
+"""
+
+
+def test_workers_get_the_shipped_package(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", _ELSEWHERE.format(root=root)], cwd=tmp_path, env=bare, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 300" in done.stdout, [x for x in done.stderr.splitlines() if "Error" in x][:8]

@@ -111,6 +111,15 @@ def lowess(x, y, frac, iters, nodes=smoothing.NODES):
     return at, fit
 
 
+def test_many_quantiles_at_once_equal_sorting(spark):
+    rng = np.random.default_rng(9)
+    xs = {"a": rng.normal(0, 9, 500), "b": rng.integers(0, 5, 77).astype(float)}
+    df = spark.createDataFrame([(g, float(v)) for g, part in xs.items() for v in part], "g string, x double")
+    ps = np.arange(41) / 40
+    for row in quantiles(df, "x", {f"q{i}": p for i, p in enumerate(ps)}, "g").collect():
+        assert list(row)[1:] == pytest.approx(list(np.quantile(xs[row["g"]], ps)), rel=1e-12, abs=1e-12)
+
+
 @pytest.mark.parametrize("iters", [0, 2])
 @pytest.mark.parametrize("many", [False, True])
 def test_local_regression_is_lowess_at_its_nodes(spark, iters, many):
