@@ -1,8 +1,8 @@
 """Preparation, evaluation, models, segments and anomalies.
 
 Metrics are checked on a predictor that SQL can repeat: the train split's median per make.
-Tree ensembles, boosting and K-Means have no SQL and are registered without; their sizes
-here are small, the operators' defaults are not.
+Tree ensembles, boosting and K-Means have no SQL and are registered without. Every model runs
+with the operators' defaults: sizes, cross-validation, numbers of clusters and starts.
 """
 
 
@@ -24,6 +24,7 @@ from forecourt.operators import smoothing
 from forecourt.operators.lookup import lookup_join
 from forecourt.operators.quantiles import median
 
+#: Sizes for tests of what the models feed; no query uses them.
 SMALL = {
     "Random Forest": {"numTrees": 20, "maxDepth": 5},
     "Gradient Boosting": {"maxIter": 5, "maxDepth": 4},
@@ -99,20 +100,28 @@ def _ridge(e):
 
 def _trained(*names):
     def query(e):
-        return L.train_regression(e, names, SMALL, cv_folds=0).metrics.drop("task")
+        return L.train_regression(e, names).metrics.drop("task")
+    return query
+
+
+def _lasso(cross_validated):
+    """The SQL of the metrics on the splits has no folds, so those of the folds are a query of their own."""
+    def query(e):
+        of_folds = F.col("metric").startswith("cv_")
+        return _trained("Lasso Regression")(e).where(of_folds if cross_validated else ~of_folds)
     return query
 
 
 def _boosted(name):
     def query(e):
-        return L.train_regression(e, [name], SMALL, cv_folds=0).predictions
+        return L.train_regression(e, [name]).predictions
     return query
 
 
 
 
 def _importance(e):
-    return L.train_regression(e, ["Random Forest"], SMALL, cv_folds=0).importances["Random Forest"]
+    return L.train_regression(e, ["Random Forest"]).importances["Random Forest"]
 
 
 def _compared(e):
@@ -134,12 +143,12 @@ def _compared(e):
 
 def _classified(name):
     def query(e):
-        return K.train_classification(e, [name], SMALL).predictions[name]
+        return K.train_classification(e, [name]).predictions[name]
     return query
 
 
 def _probabilities(e):
-    trained = K.train_classification(e, [K.FOREST], SMALL)
+    trained = K.train_classification(e, [K.FOREST])
     return K.class_probabilities(e, trained.models[K.FOREST])
 
 
@@ -179,7 +188,7 @@ def partly_missing(df, column):
 def _normal_equations(e):
     """Moments of the predictions with the features, which least squares makes those of the label."""
     train, _ = prep.split(e)
-    scored = L.train_regression(e, ["Linear Regression"], cv_folds=0).models["Linear Regression"].transform(train)
+    scored = L.train_regression(e, ["Linear Regression"]).models["Linear Regression"].transform(train)
     products = [F.struct(F.lit(c).alias("feature"), (F.col("prediction") * F.col(c)).alias("p")) for c in MOMENTS]
     rows = scored.select(F.explode(F.array(*products)).alias("m")).select("m.*")
     return rows.groupBy("feature").agg(F.avg("p").alias("moment"))
@@ -219,7 +228,8 @@ QUERIES = {
     "linear_regression_moments": eng(_normal_equations, 3),
     "boosting_stump": eng(_stump),
     "ridge_regression": eng(_ridge),
-    "lasso_regression": eng(_trained("Lasso Regression")),
+    "lasso_regression": eng(_lasso(False)),
+    "lasso_regression_cv": eng(_lasso(True)),
     "train_linear_models": eng(_trained("Linear Regression", "Ridge Regression")),
     "random_forest_regression": eng(_boosted("Random Forest")),
     "gradient_boosting_regression": eng(_boosted("Gradient Boosting")),
@@ -228,7 +238,7 @@ QUERIES = {
     "random_forest_classifier": eng(_classified(K.FOREST)),
     "gradient_boosting_classifier": eng(_classified(K.BOOSTING)),
     "class_probabilities": eng(_probabilities),
-    "kmeans_sweep": eng(lambda e: U.kmeans_sweep(e, n_init=1).sweep),
+    "kmeans_sweep": eng(lambda e: U.kmeans_sweep(e).sweep),
     "silhouette": eng(_silhouette),
     "assign_cluster": eng(lambda e: U.assign_cluster(e, ["price", "mileage"], CENTERS).select("listing_id", "cluster")),
     "assign_cluster_missing": eng(lambda e: U.assign_cluster(
@@ -361,6 +371,8 @@ ORACLES = {
             f"SELECT 'Lasso Regression' AS model, '{n}' AS metric, round({c}, 6) AS value FROM {t}"
             for n, c, t in (("train_r2", "r", "t"), ("test_r2", "r2_log", "m"), ("test_r2_original_scale", "r2", "m"),
                             ("rmse", "rmse", "m"), ("mae", "mae", "m"), ("mape", "mape", "m")))),
+    "lasso_regression_cv": B.over_engineered(_FOLDS + " SELECT 'Lasso Regression' AS model, 'cv_mean' AS metric, round(avg(r2), 6) AS value FROM r "
+        "UNION ALL SELECT 'Lasso Regression', 'cv_std', round(stddev_pop(r2), 6) FROM r"),
     "restrict_classes": B.over_engineered("SELECT listing_id, body_type FROM eng WHERE body_type IN (SELECT body_type FROM eng GROUP BY 1 "
         "ORDER BY count(*) DESC, body_type LIMIT 4)"),
     "silhouette": B.over_engineered(_SILHOUETTE),

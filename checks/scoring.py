@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import base as B
-from checks.modelling import CENTERS, SHARE, SMALL, partly_missing
+from checks.modelling import CENTERS, SHARE, partly_missing
 from forecourt import schema as S
 from forecourt.operators import anomaly as A
 from forecourt.operators import catalog as C
@@ -59,7 +59,7 @@ def _validated(c):
 
 
 def _price_model(e):
-    return L.train_regression(e, ["Linear Regression"], SMALL, cv_folds=0).models["Linear Regression"]
+    return L.train_regression(e, ["Linear Regression"]).models["Linear Regression"]
 
 
 def _predicted(e):
@@ -68,7 +68,7 @@ def _predicted(e):
 
 def _constant_model(e):
     """A penalty that leaves no coefficient: the mean of the train split's label."""
-    return L.train_regression(e, ["Lasso Regression"], cv_folds=0).models["Lasso Regression"]
+    return L.train_regression(e, ["Lasso Regression"]).models["Lasso Regression"]
 
 
 def _rated_in_part(c):
@@ -109,7 +109,7 @@ def _deal_anomalies(e):
 
 
 def _segments(e):
-    segments = U.kmeans_sweep(e, ks=(2,), n_init=1)
+    segments = U.kmeans_sweep(e)
     clustered = U.assign_cluster(e, segments.scaler.means, segments.centers, segments.scaler)
     profiles = U.name_segments(U.cluster_profiles(clustered))
     placed = X.assign_segment(e.drop("price"), _price_model(e), segments, U.fit_projection(e), profiles)
