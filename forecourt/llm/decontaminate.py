@@ -17,7 +17,10 @@ BITS = 4
 ITEMS = 4096
 _EDGE = ".,;:!?\"'()[]|"
 _REMEMBERED = 400_000
+#: Most tables of one length. Items that need more are compared with every window that shares a run.
 _MOST_TABLES = 256
+#: Edited items of each length that its hit rate is measured with: first a few, then all.
+_FEW, _ALL = 16, 128
 _WINDOWS = 4096
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,7 +104,7 @@ class Index:
     items: list[tuple]  # (item id, words as numbers)
     numbers: dict[str, int]
     grams: dict[int, np.ndarray]  # by the length of a run: hashes, items, places, sorted by hash
-    tables: int
+    tables: dict[int, int]  # by the length of an item; 0: more than are worth it, so all windows are compared
     similarity: float
 
 
@@ -117,40 +120,55 @@ def run_length(n: int, similarity: float) -> int:
     return max(1, n // (edits_allowed(n, similarity) + 1))
 
 
-def tables_needed(items: list[tuple], similarity: float, recall: float, bits: int = BITS) -> int:
-    """Tables after which a window at the radius is found with the wanted probability.
-
-    Measured on the items themselves, up to 64 of them: each is edited as often as is allowed, by
-    substitutions, insertions and deletions at random places, and the share of agreeing tables is
-    counted, aligned at the first run of words that the edits left. The tables are independent, so the misses
-    multiply; the mean over the items of these probabilities must reach ``recall``.
+def _hit_rates(items: list[np.ndarray], similarity: float, samples: int, bits: int) -> np.ndarray:
+    """Shares of the tables in which edited items of one length agree with their originals."""
+    n = len(items[0])
+    rng = np.random.default_rng([7, n, samples])
+    q, edits = run_length(n, similarity), edits_allowed(n, similarity)
+    before, whole, starts, owner, at = [], [], [], [], 0
+    for k in range(samples):
+        words = items[k % len(items)]
+        edited = words.tolist()
+        for _ in range(edits):
+            place, kind = int(rng.integers(len(edited))), rng.integers(3)
+            edited[place : place + (kind != 1)] = [] if kind == 2 and len(edited) > 1 else [int(rng.integers(2**62, 2**63))]
+        mine, theirs = _grams(words, q), _grams(np.array(edited, np.uint64), q)
+        shifts = {int(b) - a for a in range(len(mine)) for b in np.flatnonzero(theirs == mine[a])[:1]}
+        # Foreign words around the edited item, so that no window reaches the next one.
+        foreign = np.arange(2 * n, dtype=np.uint64) + np.uint64(2**60 + 2 * n * k)
+        starts += [at + n + x for x in sorted(shifts)]
+        owner += [k] * len(shifts)
+        parts = foreign[:n], np.array(edited, np.uint64), foreign[n:]
+        whole += parts
+        at += sum(map(len, parts))
+        before.append(words)
+    own = embed(np.concatenate(before), np.arange(samples) * n, n, _MOST_TABLES, bits)
+    whole, starts, owner = np.concatenate(whole), np.array(starts, np.int64), np.array(owner, np.int64)
+    agree = np.zeros((_MOST_TABLES, samples), bool)
+    for k in range(0, len(starts), 256):
+        who = owner[k : k + 256]
+        same = embed(whole, starts[k : k + 256], n, _MOST_TABLES, bits) == own[:, who]
+        for j, sample in enumerate(who):
+            agree[:, sample] |= same[:, j]
+    return agree.mean(axis=0)
+
+
+def tables_needed(items: list[np.ndarray], similarity: float, recall: float, bits: int = BITS) -> int:
+    """Tables after which a window at the radius of items of one length is found with the wanted probability.
+
+    Measured on the items themselves: they are edited as often as is allowed, by substitutions,
+    insertions and deletions at random places, and the share of agreeing tables is counted,
+    aligned at the runs of words that the edits left. The tables are independent, so the misses
+    multiply; the mean of these probabilities must reach ``recall``. 0 if ``_MOST_TABLES`` don't.
     """
-    rng = np.random.default_rng(7)
-    agree = []
-    for _, words in items[:: max(1, len(items) // 64)][:64]:
-        for _ in range(4):
-            edited = words.tolist()
-            for _ in range(edits_allowed(len(words), similarity)):
-                at, kind = int(rng.integers(len(edited))), rng.integers(3)
-                new = int(rng.integers(2**62, 2**63))
-                edited[at : at + (kind != 1)] = [] if kind == 2 and len(edited) > 1 else [new]
-            edited = np.array(edited + [2**61 + k for k in range(len(words))], np.uint64)
-            q = run_length(len(words), similarity)
-            mine, theirs = _grams(words, q), _grams(edited, q)
-            shift = [b - a for a in range(len(mine)) for b in np.flatnonzero(theirs == mine[a])[:1]]
-            if not shift:
-                continue
-            whole = np.concatenate((np.array([2**60 + k for k in range(len(words))], np.uint64), edited))
-            starts = np.unique(np.array(shift)) + len(words)
-            a = embed(words, np.array([0]), len(words), 64, bits)
-            hit = (a == embed(whole, starts, len(words), 64, bits)).any(axis=1).mean()
-            agree.append(hit)
-    if not agree:
-        return 1
-    for tables in range(1, _MOST_TABLES):
-        if np.mean(1 - (1 - np.array(agree)) ** tables) >= recall:
-            return tables
-    return _MOST_TABLES
+    if not edits_allowed(len(items[0]), similarity):
+        return 1  # copies agree in every table
+    reached = lambda rates, tables: np.mean(1 - (1 - rates) ** tables)
+    # Far from the target with a few samples: no need for more.
+    if reached(_hit_rates(items, similarity, _FEW, bits), _MOST_TABLES) < 1 - 5 * (1 - recall):
+        return 0
+    rates = _hit_rates(items, similarity, _ALL, bits)
+    return next((t for t in range(1, _MOST_TABLES + 1) if reached(rates, t) >= recall), 0)
 
 
 def build(rows: list[tuple], similarity: float = SIMILARITY, recall: float = RECALL) -> Index:
@@ -168,7 +186,11 @@ def build(rows: list[tuple], similarity: float = SIMILARITY, recall: float = REC
     for q, parts in by_run.items():
         table = np.concatenate(parts, axis=1)
         grams[q] = table[:, np.argsort(table[0], kind="stable")]
-    return Index(items, numbers, grams, tables_needed(items, similarity, recall), similarity)
+    by_length: dict[int, list] = {}
+    for _, words in items:
+        by_length.setdefault(len(words), []).append(words)
+    tables = {n: tables_needed(group, similarity, recall) for n, group in sorted(by_length.items())}
+    return Index(items, numbers, grams, tables, similarity)
 
 
 class _Numbers(dict):
@@ -197,12 +219,16 @@ class Finder:
         if n not in self.codes:
             own = [k for k, (_, w) in enumerate(self.index.items) if len(w) == n]
             words = np.concatenate([self.index.items[k][1] for k in own])
-            self.codes[n] = np.array(own), embed(words, np.arange(len(own)) * n, n, self.index.tables)
+            self.codes[n] = np.array(own), embed(words, np.arange(len(own)) * n, n, self.index.tables[n])
         return self.codes[n]
 
-    def _windows(self, ids: np.ndarray) -> dict[int, np.ndarray]:
-        """Starts of the windows, by length, that share a run of words with an item of that length."""
+    def _windows(self, ids: np.ndarray) -> tuple[dict[int, np.ndarray], np.ndarray]:
+        """Windows that share a run of words with an item of their length.
+
+        Starts by length, for the tables, and pairs of item and start where tables don't suffice.
+        """
         found: dict[int, list] = {}
+        direct = [np.zeros((0, 2), np.int64)]
         lengths = np.array([len(w) for _, w in self.index.items])
         for q, (codes, items, places) in self.index.grams.items():
             mine = _grams(ids, q)
@@ -213,10 +239,15 @@ class Finder:
             count = np.searchsorted(codes, mine[at], "right") - low[at]
             hit = np.repeat(low[at] - np.concatenate(([0], count.cumsum()[:-1])), count) + np.arange(count.sum())
             starts = np.repeat(at, count) - places[hit].astype(np.int64)
-            sizes = lengths[items[hit].astype(np.int64)]
+            which = items[hit].astype(np.int64)
+            sizes = lengths[which]
             for n in np.unique(sizes):
-                found.setdefault(int(n), []).append(starts[sizes == n])
-        return {n: np.unique(np.concatenate(parts)) for n, parts in found.items()}
+                some = sizes == n
+                if self.index.tables[int(n)]:
+                    found.setdefault(int(n), []).append(starts[some])
+                else:
+                    direct.append(np.unique(np.stack((which[some], starts[some]), axis=1), axis=0))
+        return {n: np.unique(np.concatenate(parts)) for n, parts in found.items()}, np.concatenate(direct)
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """``(text, item, distance, start, end)``, the best window of each item in each text, in words."""
@@ -231,12 +262,27 @@ class Finder:
             at += len(x) + len(gap)
         ids, firsts = np.concatenate(ids), np.array(firsts)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for n, starts in self._windows(ids).items():
-            own, theirs = self._items_of(n)
+
+        def verify(item: int, low: int, high: int) -> None:
+            """Compare an item with the windows that start from ``low`` to ``high``, which lie in one text."""
+            n = len(self.index.items[item][1])
             slack = edits_allowed(n, self.index.similarity)
+            text = max(int(np.searchsorted(firsts, low + slack, "right")) - 1, 0)
+            first = int(firsts[text])
+            a, b = max(low - slack, first), min(high + n + slack, first + len(kept[text]))
+            if a >= b:
+                return
+            distance, start, end = best_match(self.index.items[item][1].tolist(), ids[a:b].tolist())
+            got = (distance, a + start - first, a + end - first)
+            if distance <= slack and got < best.get((text, item), (n + 1,)):
+                best[text, item] = got
+
+        by_length, direct = self._windows(ids)
+        for n, starts in by_length.items():
+            own, theirs = self._items_of(n)
             for k in range(0, len(starts), _WINDOWS):
                 part = starts[k : k + _WINDOWS]
-                codes = embed(ids, part, n, self.index.tables)
+                codes = embed(ids, part, n, self.index.tables[n])
                 pairs = set()
                 for mine, other in zip(theirs, codes):
                     order = np.argsort(mine, kind="stable")
@@ -244,16 +290,17 @@ class Finder:
                     for w in np.flatnonzero(high > low):
                         pairs.update((int(w), int(own[i])) for i in order[low[w] : high[w]])
                 for w, item in pairs:
-                    text = int(np.searchsorted(firsts, part[w] + slack, "right")) - 1
-                    text = max(text, 0)
-                    first = firsts[text]
-                    a, b = max(int(part[w]) - slack, int(first)), min(int(part[w]) + n + slack, int(first) + len(kept[text]))
-                    if a >= b:
-                        continue
-                    distance, start, end = best_match(self.index.items[item][1].tolist(), ids[a:b].tolist())
-                    got = (distance, a + start - int(first), a + end - int(first))
-                    if distance <= slack and got < best.get((text, item), (n + 1,)):
-                        best[text, item] = got
+                    verify(item, int(part[w]), int(part[w]))
+        if len(direct):
+            # Windows of one item that lie close together are one stretch, so that a text is read once.
+            item, start = direct[:, 0], direct[:, 1]
+            reach = np.array([len(w) for _, w in self.index.items])[item]
+            slack = np.array([edits_allowed(int(n), self.index.similarity) for n in reach])
+            text = np.searchsorted(firsts, start + slack, "right")
+            new = (np.diff(item) != 0) | (np.diff(text) != 0) | (np.diff(start) > reach[1:])
+            edges = np.concatenate(([0], np.flatnonzero(new) + 1, [len(direct)]))
+            for a, b in zip(edges, edges[1:]):
+                verify(int(item[a]), int(start[a]), int(start[b - 1]))
         return [(text, item, *got) for (text, item), got in sorted(best.items())]
 
 
@@ -266,8 +313,8 @@ def find_items(
     An item of n words is found where a run of words is at most ``(1 - similarity) n`` word edits
     away; words are compared lower-cased and without punctuation at their ends. Windows of the
     item's length that share with it the run of words that so few edits must leave are embedded
-    and looked up in sampled tables, as many as ``recall`` needs; what they find is verified
-    exactly. Only texts pass through tasks: nothing is shuffled. The benchmark is a query
+    and looked up in sampled tables, as many as ``recall`` needs at that length; what they find is
+    verified exactly. Where that were too many tables, all those windows are verified. Only texts pass through tasks: nothing is shuffled. The benchmark is a query
     set taken in blocks of ``ITEMS``, one pass over the documents for each.
 
     Null or empty texts hold nothing, null or empty items are held by nothing; repeated items are

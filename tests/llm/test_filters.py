@@ -182,6 +182,26 @@ def test_edited_passages_reach_the_recall(spark):
     assert all(r["distance"] <= 0.2 * len(items[r["item_id"]]) + 1e-9 for r in found)
 
 
+def test_long_items_among_short_ones_reach_the_recall():
+    rnd = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    words_ = lambda n: [rnd.choice(vocabulary) for _ in range(n)]
+    items = [words_(n) for n in [18] * 60 + [250] * 4]
+    index = decontaminate.build([(k, " ".join(x)) for k, x in enumerate(items)])
+    texts, want = [], set()
+    for k in [*range(60, 64)] * 25:
+        words = list(items[k])
+        for _ in range(decontaminate.edits_allowed(250, 0.8)):
+            at, kind = rnd.randrange(len(words)), rnd.randrange(3)
+            words[at : at + (kind != 1)] = [] if kind == 2 else words_(1)
+        want.add((len(texts), k))
+        texts.append(" ".join(words_(50) + words + words_(50)))
+    found = decontaminate.Finder(index).find(texts)
+    assert {(text, item) for text, item, *_ in found} == want
+    for text, item, distance, start, end in found[:10]:
+        assert distance == edit_distance(items[item], texts[text].split()) == edit_distance(items[item], texts[text].split()[start:end])
+
+
 def test_passages_of_edge_rows(spark, edge, nothing):
     items = [(1, "this very line is shared by a NUMBER of documents here"), (1, None), (2, ""), (3, "..."), (None, "a row without an id"), (4, "same")]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
