@@ -14,6 +14,8 @@ from forecourt.llm.common import plain
 
 #: Most rows of either label that a model is fitted on, and most bytes of text of all of them.
 SAMPLE_TOXIC, SAMPLE_ORDINARY, SAMPLE_BYTES = 1500, 4500, 48 << 20
+#: Places of a text too long for the sample that its share is taken from.
+STRETCHES = 16
 #: Distinct windows that a worker remembers.
 REMEMBERED = 600_000
 _EDGE = b".,;:!?\"'()[]"
@@ -156,23 +158,51 @@ def score(gains: np.ndarray, threshold: float) -> float:
     return 1 / (1 + math.exp(-(top - threshold + 0.1) - 0.5 * math.log1p(hits)))
 
 
+def _cap(sizes: np.ndarray, bound: int) -> int:
+    """The most bytes that each text may give so that all together give at most ``bound``."""
+    left = bound
+    for k, size in enumerate(sorted(sizes.tolist())):
+        fair = left // (len(sizes) - k)
+        if size > fair:
+            return fair
+        left -= size
+    return bound
+
+
+def _joined(parts: list[bytes]) -> str:
+    """A whole text, or the whole words of its stretches: the outer ones of a stretch may be torn."""
+    if len(parts) > 1:
+        parts = [b" ".join(bytes(part).split()[1:-1]) for part in parts]
+    return b" ".join(map(bytes, parts)).decode("utf-8", "replace")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[list[str], list[str]]:
-    """Texts of at most the documented number of rows and bytes, in the order of a hash of the id."""
+    """Texts of at most the documented number of rows, the first in the order of a hash of the id, and bytes.
+
+    Either label has half of the bytes. Where they don't hold its texts whole, the longest give less:
+    words from places all over the text, as many as leave every other text its share.
+    """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col(id_col).cast("string"))
     chosen = [known.where(F.col("toxic") == t).orderBy(order, id_col).limit(n) for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_ORDINARY))]
     # At most SAMPLE_TOXIC + SAMPLE_ORDINARY ids.
     sizes = docs.select(id_col, F.octet_length(text_col).alias("n")).join(F.broadcast(chosen[0].union(chosen[1])), id_col)
     sizes = sizes.where("n > 0").groupBy(id_col, "toxic").agg(F.max("n").alias("n")).toPandas()
-    sizes = sizes.sample(frac=1, random_state=0) if sizes.empty else sizes.sort_values(id_col)
-    fair = pd.concat([rows.assign(share=(rows["n"].cumsum() - rows["n"] / 2) / SAMPLE_BYTES) for _, rows in sizes.groupby("toxic")] or [sizes])
-    ids = fair[fair["share"] < 0.5] if "share" in fair else fair
-    if ids.empty:
+    if sizes.empty:
         return [], []
-    few = F.broadcast(docs.sparkSession.createDataFrame(ids[[id_col, "toxic"]]))
+    sizes["most"] = sizes.groupby("toxic")["n"].transform(lambda n: _cap(n, SAMPLE_BYTES // 2))
+    few = F.broadcast(docs.sparkSession.createDataFrame(sizes[[id_col, "toxic", "most"]]))
     rows = docs.select(id_col, F.col(text_col).cast("string").alias("text")).join(few, id_col)
     # One text for each id, the least, so that repeated ids can't exceed the bound.
-    rows = rows.where("text != ''").groupBy(id_col, "toxic").agg(F.min("text").alias("text")).toPandas().sort_values(id_col)
+    rows = rows.where("text != ''").groupBy(id_col, "toxic", "most").agg(F.min("text").cast("binary").alias("text"))
+    # Stretches and the spaces between them stay within the cap.
+    size, width = F.octet_length("text"), (F.col("most") / STRETCHES).cast("int")
+    at = lambda k: (k * (size - width) / (STRETCHES - 1)).cast("int") + 1
+    stretches = F.array(*[F.substring("text", at(F.lit(k)), width) for k in range(STRETCHES)])
+    rows = rows.select(id_col, "toxic", F.when(size <= F.col("most"), F.array("text")).otherwise(stretches).alias("parts"))
+    rows = rows.toPandas().sort_values(id_col)
+    rows["text"] = rows["parts"].map(list).map(_joined)
+    rows = rows[rows["text"].str.strip() != ""]
     return rows[rows["toxic"] == 1]["text"].tolist(), rows[rows["toxic"] == 0]["text"].tolist()
 
 

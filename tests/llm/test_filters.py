@@ -282,6 +282,22 @@ def test_toxicity_of_edge_rows(edge, nothing, labels):
     assert toxicity.classify(nothing, labels).collect() == []
 
 
+def test_a_text_over_the_bound_does_not_shut_out_others(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 20_000)
+    toxic = [(k, f"you utter{k % 9} blockhead said{k % 7} n{k * 7}") for k in range(1, 61)]
+    plain = [(k, f"some words x{k} é you what a day said{k % 7}") for k in range(100, 200)]
+    long = " ".join(f"long{k}" for k in range(30_000))
+    docs = spark.createDataFrame([(0, long), *toxic, (99, "日本 " * 9000), *plain], "doc_id int, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 99).cast("int").alias("toxic"))
+    got_toxic, got_plain = toxicity.labelled_sample(docs, labels, "doc_id", "text")
+    assert got_toxic[1:] == [t for _, t in toxic] and got_plain[1:] == [t for _, t in plain]
+    for texts, whole in ((got_toxic, long.split()), (got_plain, ["日本"])):
+        assert sum(len(t.encode()) for t in texts) <= 10_000
+        assert len(texts[0].split()) > 100 and set(texts[0].split()) <= set(whole)
+    scored = toxicity.classify(docs, labels).where("doc_id between 1 and 60").collect()
+    assert np.mean([r["predicted"] for r in scored]) > 0.9
+
+
 @pytest.mark.parametrize("n, similarity, want", [(10, 0.8, 2), (14, 0.8, 2), (15, 0.8, 3), (4, 0.8, 0), (20, 0.9, 2)])
 def test_edits_allowed(n, similarity, want):
     assert decontaminate.edits_allowed(n, similarity) == want == math.floor((1 - similarity) * n + 1e-9)
