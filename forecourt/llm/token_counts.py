@@ -161,9 +161,10 @@ def apply_edits(
             yield pd.DataFrame(found, columns=["id", "key", "text", "n_tokens", "ends", "sums", "n_edits", "n_encoded"])
 
     mine = docs.select(F.col(id_col).alias("__id"), text_key(text_col).alias("__key"), F.col(text_col).cast("string").alias("text")).dropDuplicates(["__id", "__key"])
-    wanted = edits.join(trees.select(id_col, "key", "ends", "sums").dropDuplicates([id_col, "key"]), [id_col, "key"])
-    met = wanted.join(mine, (F.col(id_col) == F.col("__id")) & (F.col("key") == F.col("__key")))
-    made = met.select(F.col(id_col).cast("string").alias("id"), "key", "text", "ends", "sums", "edits").mapInPandas(
+    mine_too = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
+    shapes = trees.select(F.col(id_col).alias("__id"), F.col("key").alias("__key"), "ends", "sums").dropDuplicates(["__id", "__key"])
+    wanted = edits.join(shapes, mine_too).drop("__id", "__key")
+    made = wanted.join(mine, mine_too).select(F.col(id_col).cast("string").alias("id"), "key", "text", "ends", "sums", "edits").mapInPandas(
         run, "id string, key bigint, text string, n_tokens bigint, ends binary, sums binary, n_edits int, n_encoded bigint"
     )
     return made.withColumn(id_col, F.col("id").cast(id_type)).drop(*(["id"] if id_col != "id" else []))
@@ -191,14 +192,14 @@ def masks(docs: DataFrame, pattern: str, replacement: str, id_col: str = "doc_id
 def counts_after(docs: DataFrame, tokenizer: str, pattern: str, replacement: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_tokens, n_edits, n_tokens_after, n_encoded)`` per row, before and after masking ``pattern``.
 
-    ``n_encoded`` is the number of characters that were encoded again. Rows without an id keep
-    their counts: edits are found by id.
+    ``n_encoded`` is the number of characters that were encoded again. Rows without an id
+    are edited as all others: edits are found by id, null or not, and text.
     """
     trees = stored(count_trees(docs, tokenizer, id_col, text_col), "count-trees")
-    edits = masks(docs.where(F.col(id_col).isNotNull()), pattern, replacement, id_col, text_col)
+    edits = masks(docs, pattern, replacement, id_col, text_col)
     after = apply_edits(docs, trees, edits, tokenizer, id_col, text_col).select(
         F.col(id_col).alias("__id"), F.col("key").alias("__key"), F.col("n_tokens").alias("__after"), "n_edits", "n_encoded"
     )
-    both = trees.select(id_col, "key", "n_tokens").join(after, (F.col(id_col) == F.col("__id")) & (F.col("key") == F.col("__key")), "left")
+    both = trees.select(id_col, "key", "n_tokens").join(after, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return both.select(id_col, "n_tokens", zero("n_edits"), F.coalesce("__after", "n_tokens").alias("n_tokens_after"), zero("n_encoded"))

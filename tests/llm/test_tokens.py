@@ -194,3 +194,15 @@ def test_counts_of_documents(spark, folder, texts, edge, nothing):
     plain = token_counts.counts_after(edge, token_file(queries.BYTE_BPE), queries.DIGITS, queries.DIGIT_MARK)
     assert rows(plain.drop("n_encoded")) == want([(r["doc_id"], r["text"]) for r in edge.collect()])
     assert token_counts.counts_after(nothing, token_file(queries.BYTE_BPE), "x", "y").collect() == []
+
+
+def test_rows_without_an_id_are_edited(spark):
+    texts = [(None, "call 1234567 now"), (None, "or 7654321 and 1111111"), (None, "never"), (1, "call 1234567 now"), (1, None)]
+    docs = spark.createDataFrame([*texts, texts[0]], "doc_id bigint, text string")
+    found = token_counts.counts_after(docs, token_file(queries.BYTE_BPE), queries.DIGITS, queries.DIGIT_MARK)
+    size = lambda t: len(ids_of(queries.BYTE_BPE, t, True))
+    want = []
+    for i, t in [*texts, texts[0]]:
+        masked = (t or "").replace("1234567", "<number>").replace("7654321", "<number>").replace("1111111", "<number>")
+        want.append((i, size(t or ""), masked.count("<number>"), size(masked)))
+    assert rows(found.drop("n_encoded")) == sorted(want, key=repr)
