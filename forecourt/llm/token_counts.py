@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import plain, stored, text_key
@@ -43,18 +43,21 @@ def set_leaf(heap: np.ndarray, leaf: int, count: int) -> None:
         node //= 2
 
 
-def count_trees(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, key, n_tokens, ends, sums)``: the count of every text with its tree.
+def count_trees(
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", mark: Column | None = None,
+) -> DataFrame:
+    """``(id, key, n_tokens, ends, sums, marked)``: the count of every text with its tree.
 
     ``ends`` (character offsets of the leaves) and ``sums`` (the heap) are little-endian 32-bit
     arrays. A null or empty text has no leaf and no token. Special tokens' strings are ordinary
-    text. The tokenizer is byte-level, so counts of pre-tokens add up.
+    text. The tokenizer is byte-level, so counts of pre-tokens add up. ``marked`` says where the
+    condition ``mark`` holds, so that those trees can be taken without looking for them. Repeated
+    rows and rows without an id have a row each; an empty table gives none.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = encoder(tokenizer, "bytes")
-        coder.tokenizer.encode_special_tokens = True
+        coder = encoder(tokenizer, "bytes", ordinary=True)
         for batch in batches:
             for at in range(0, len(batch), 1024):
                 rows = batch.iloc[at : at + 1024]
@@ -64,11 +67,13 @@ def count_trees(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
                     ends, sums = leaves(text or "", counts, np.fromiter(map(len, parts), np.int64, len(parts)))
                     found.append((int(sums.sum()), ends.tobytes(), tree(sums).tobytes()))
                 out = pd.DataFrame(found, columns=["n_tokens", "ends", "sums"])
-                yield out.assign(id=plain(rows["id"]), key=rows["key"].to_numpy())
+                yield out.assign(id=plain(rows["id"]), key=rows["key"].to_numpy(), marked=rows["marked"].to_numpy())
 
-    chosen = docs.select(F.col(id_col).cast("string").alias("id"), text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    made = chosen.mapInPandas(run, "id string, key bigint, n_tokens bigint, ends binary, sums binary")
-    return made.select(F.col("id").cast(id_type).alias(id_col), "key", "n_tokens", "ends", "sums")
+    marked = F.coalesce(F.lit(False) if mark is None else mark, F.lit(False)).alias("marked")
+    text = F.col(text_col).cast("string").alias("text")
+    chosen = docs.select(F.col(id_col).cast("string").alias("id"), text_key(text_col).alias("key"), text, marked)
+    made = chosen.mapInPandas(run, "id string, key bigint, n_tokens bigint, ends binary, sums binary, marked boolean")
+    return made.select(F.col("id").cast(id_type).alias(id_col), "key", "n_tokens", "ends", "sums", "marked")
 
 
 def recount(
@@ -137,19 +142,23 @@ def _cut(region: str, behind: str) -> list[str] | None:
     return parts if at == len(region) else None
 
 
-def apply_edits(
-    docs: DataFrame, trees: DataFrame, edits: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
+def _same(id_col: str) -> Column:
+    """Equal ids, null or not, and equal texts."""
+    return F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFrame:
     """``(id, key, text, n_tokens, ends, sums, n_edits, n_encoded)`` of the documents that ``edits`` names.
 
-    ``edits`` has ``(id, key, edits)``, the last an array of ``(start, end, text)`` in characters,
-    sorted and not overlapping. Documents without edits have no row; their trees hold as they are.
+    ``edits`` has ``(id, key, text, edits)``: a document's old text and an array of ``(start, end,
+    text)`` in its characters, sorted and not overlapping. Both tables are shuffled, so ``trees``
+    should hold little more than the edited ones. Documents without edits have no row; their
+    trees hold as they are. Repeated rows have one row together; ids may be null.
     """
-    id_type = docs.schema[id_col].dataType.simpleString()
+    id_type = trees.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        coder = encoder(tokenizer, "bytes")
-        coder.tokenizer.encode_special_tokens = True
+        coder = encoder(tokenizer, "bytes", ordinary=True)
         count = lambda parts: int(coder.count([parts])[0].sum())
         for batch in batches:
             found = []
@@ -160,18 +169,19 @@ def apply_edits(
                 found.append((row.id, row.key, new, int(heap[1]), ends.tobytes(), heap.tobytes(), len(changes), encoded))
             yield pd.DataFrame(found, columns=["id", "key", "text", "n_tokens", "ends", "sums", "n_edits", "n_encoded"])
 
-    mine = docs.select(F.col(id_col).alias("__id"), text_key(text_col).alias("__key"), F.col(text_col).cast("string").alias("text")).dropDuplicates(["__id", "__key"])
-    mine_too = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key"))
-    shapes = trees.select(F.col(id_col).alias("__id"), F.col("key").alias("__key"), "ends", "sums").dropDuplicates(["__id", "__key"])
-    wanted = edits.join(shapes, mine_too).drop("__id", "__key")
-    made = wanted.join(mine, mine_too).select(F.col(id_col).cast("string").alias("id"), "key", "text", "ends", "sums", "edits").mapInPandas(
+    shapes = trees.select(F.col(id_col).alias("__id"), F.col("key").alias("__key"), "ends", "sums")
+    wanted = edits.join(shapes, _same(id_col)).dropDuplicates([id_col, "key"])
+    made = wanted.select(F.col(id_col).cast("string").alias("id"), "key", "text", "ends", "sums", "edits").mapInPandas(
         run, "id string, key bigint, text string, n_tokens bigint, ends binary, sums binary, n_edits int, n_encoded bigint"
     )
     return made.withColumn(id_col, F.col("id").cast(id_type)).drop(*(["id"] if id_col != "id" else []))
 
 
 def masks(docs: DataFrame, pattern: str, replacement: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Edits that replace every match of ``pattern``: ``(id, key, edits)`` of the documents with one."""
+    """Edits that replace every match of ``pattern``: ``(id, key, text, edits)`` of the documents with one.
+
+    Repeated rows have one row together; null and empty texts and an empty table have none.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -181,25 +191,27 @@ def masks(docs: DataFrame, pattern: str, replacement: str, id_col: str = "doc_id
             for row in batch.itertuples():
                 edits = [(m.start(), m.end(), replacement) for m in search.finditer(row.text)]
                 if edits:
-                    found.append((row.id, row.key, [{"start": a, "end": b, "text": t} for a, b, t in edits]))
-            yield pd.DataFrame(found, columns=["id", "key", "edits"])
+                    found.append((row.id, row.key, row.text, [{"start": a, "end": b, "text": t} for a, b, t in edits]))
+            yield pd.DataFrame(found, columns=["id", "key", "text", "edits"])
 
     some = docs.where(F.col(text_col).rlike(pattern)).select(F.col(id_col).cast("string").alias("id"), text_key(text_col).alias("key"), F.col(text_col).alias("text"))
-    made = some.mapInPandas(run, "id string, key bigint, edits array<struct<start int, end int, text string>>")
-    return made.select(F.col("id").cast(id_type).alias(id_col), "key", "edits").dropDuplicates([id_col, "key"])
+    made = some.mapInPandas(run, "id string, key bigint, text string, edits array<struct<start int, end int, text string>>")
+    return made.select(F.col("id").cast(id_type).alias(id_col), "key", "text", "edits").dropDuplicates([id_col, "key"])
 
 
 def counts_after(docs: DataFrame, tokenizer: str, pattern: str, replacement: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_tokens, n_edits, n_tokens_after, n_encoded)`` per row, before and after masking ``pattern``.
 
     ``n_encoded`` is the number of characters that were encoded again. Rows without an id
-    are edited as all others: edits are found by id, null or not, and text.
+    are edited as all others: edits are found by id, null or not, and text; equal rows have equal
+    results. Null and empty texts count nothing, an empty table gives no rows. Texts and trees of
+    documents without a match are not shuffled.
     """
-    trees = stored(count_trees(docs, tokenizer, id_col, text_col), "count-trees")
+    trees = stored(count_trees(docs, tokenizer, id_col, text_col, F.col(text_col).rlike(pattern)), "count-trees")
     edits = masks(docs, pattern, replacement, id_col, text_col)
-    after = apply_edits(docs, trees, edits, tokenizer, id_col, text_col).select(
+    after = apply_edits(trees.where("marked").dropDuplicates([id_col, "key"]), edits, tokenizer, id_col).select(
         F.col(id_col).alias("__id"), F.col("key").alias("__key"), F.col("n_tokens").alias("__after"), "n_edits", "n_encoded"
     )
-    both = trees.select(id_col, "key", "n_tokens").join(after, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("key") == F.col("__key")), "left")
+    both = trees.select(id_col, "key", "n_tokens").join(after, _same(id_col), "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
     return both.select(id_col, "n_tokens", zero("n_edits"), F.coalesce("__after", "n_tokens").alias("n_tokens_after"), zero("n_encoded"))

@@ -146,8 +146,7 @@ def test_best_fit_keeps_every_limit(by):
 
 def test_recounting_equals_counting_anew(monkeypatch):
     monkeypatch.setattr(token_counts, "LEAF", 3)
-    coder = Encoder(token_file(queries.BYTE_BPE), "bytes")
-    coder.tokenizer.encode_special_tokens = True
+    coder = Encoder(token_file(queries.BYTE_BPE), "bytes", ordinary=True)
     count = lambda parts: int(coder.count([parts])[0].sum())
     rnd = random.Random(1)
     letters = ["a", "b", " ", " ", "\n", "'s", "1", "23", ".", "é", "  ", "\t", "ab cd", "<|endoftext|>", "   "]
@@ -180,7 +179,6 @@ def test_counts_of_documents(spark, folder, texts, edge, nothing):
         out = []
         for i, t in pairs:
             masked, n = re.subn(queries.DIGITS, queries.DIGIT_MARK, t or "")
-            masked, n = (t or "", 0) if i is None else (masked, n)
             out.append((i, len(ids_of(queries.BYTE_BPE, t, True)), n, len(ids_of(queries.BYTE_BPE, masked, True))))
         return sorted(out, key=repr)
 
@@ -206,3 +204,22 @@ def test_rows_without_an_id_are_edited(spark):
         masked = (t or "").replace("1234567", "<number>").replace("7654321", "<number>").replace("1111111", "<number>")
         want.append((i, size(t or ""), masked.count("<number>"), size(masked)))
     assert rows(found.drop("n_encoded")) == sorted(want, key=repr)
+
+
+def test_packing_after_counting_in_one_session(spark):
+    """Counting takes special tokens' strings as text, packing as tokens, in the same workers."""
+    text = "hello <|endoftext|> world 1234567"
+    docs = spark.createDataFrame([(k, text) for k in range(40)], "doc_id bigint, text string").repartition(8)
+    counted = token_counts.counts_after(docs, token_file(queries.BYTE_BPE), queries.DIGITS, queries.DIGIT_MARK)
+    for _ in range(2):
+        assert {r["n_tokens"] for r in counted.collect()} == {len(ids_of(queries.BYTE_BPE, text, True))}
+        check_packing(queries.packed(docs).collect(), dict.fromkeys(range(40), text))
+
+
+def test_counting_shuffles_edited_texts_only(spark, folder, monkeypatch):
+    kept = []
+    real = token_counts.apply_edits
+    monkeypatch.setattr(token_counts, "apply_edits", lambda trees, edits, *more: kept.append((trees, edits)) or real(trees, edits, *more))
+    queries.edited_token_counts(spark, folder)
+    trees, edits = kept[0]
+    assert 0 < trees.count() == edits.count() < 0.3 * spark.read.parquet(f"{folder}/documents.parquet").count()
