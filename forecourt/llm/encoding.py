@@ -1,6 +1,7 @@
 """Whole texts to token ids, encoding every distinct piece of text once per worker."""
 
 import re
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -8,7 +9,8 @@ from tokenizers import Tokenizer
 #: Distinct pieces that a worker remembers: about 120 MB. Beyond them pieces are encoded per batch.
 REMEMBERED = 600_000
 AT_ONCE = 2_000_000
-_UNSPLIT = re.compile(r"\s\s|[^\S \n]|<\|")
+#: What a text must not hold to be cut: two white spaces together, white space other than these two, special tokens.
+_UNSPLIT = ["  ", " \n", "\n ", "\n\n", "<|", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 #: A piece that is one run of Latin letters, perhaps with a full stop or comma behind it.
 _PLAIN = re.compile(r"([ \n]?)([A-Za-zªµºÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
 
@@ -22,7 +24,7 @@ def _byte_letters() -> dict[int, str]:
 
 _LETTERS = _byte_letters()
 
-_encoders: dict[tuple[str, str], "Encoder"] = {}
+_encoders: dict[tuple[str, str, bool], "Encoder"] = {}
 
 
 class Encoder:
@@ -35,12 +37,15 @@ class Encoder:
     ``words``: a lower-casing tokenizer that drops white space; the cuts are ASCII white space.
     Pieces seen before come from memory. New ones go through the tokenizers library: a run of
     Latin letters, which no rule cuts, straight to its model, all others through the whole of it.
+    With ``ordinary`` the strings of special tokens are ordinary text.
     """
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, ordinary: bool = False):
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
+        self.tokenizer.encode_special_tokens = ordinary
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) < 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.known: dict = {}
         self.lengths: dict[str, int] = {}
         marks = [".", ",", "\n"]
@@ -49,19 +54,19 @@ class Encoder:
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in found]
 
     def _run(self, letters: str) -> bytes:
         if not letters.isascii() or letters[0] == " ":
             letters = letters.encode().decode("latin-1").translate(_LETTERS)
-        return np.array([x.id for x in self.model.tokenize(letters)], self.dtype).tobytes()
+        return array(self.code, [x.id for x in self.model.tokenize(letters)]).tobytes()
 
     def _pieces(self, text: str) -> list:
         """Pieces as keys of memory; a line feed at the start of a key stands for itself, else there is a space."""
         if self.kind == "words":
             raw = text.encode("utf-8", "surrogatepass")
             return (raw if b"<|" in raw else raw.lower()).split()
-        if _UNSPLIT.search(text) or text[-1:] in ("", " ", "\n") or text[0] in " \n":
+        if any(x in text for x in _UNSPLIT) or text[-1:] in ("", " ", "\n") or text[0] in " \n":
             return [None]
         return ("\n" + text.replace("\n", " \n")).split(" ")
 
@@ -100,7 +105,9 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self._pieces(t) for t in texts]
-        new = list(set().union(*split).difference(self.known, (None,)))
+        raws = [self._joined(parts, self.known) for parts in split]
+        missing = [i for i, raw in enumerate(raws) if raw is None]
+        new = list(set().union(*(split[i] for i in missing)).difference(self.known, (None,)))
         table = self.known
         if new:
             ids = self._learn(new)
@@ -108,14 +115,19 @@ class Encoder:
                 self.known.update(ids)
             else:
                 table = _Chained(self.known, ids)
-        whole = iter(self._ids([t for t, parts in zip(texts, split) if parts == [None]]))
-        out = []
-        for parts in split:
-            raw = next(whole) if parts == [None] else b"".join(map(table.__getitem__, parts))
-            ids = np.frombuffer(raw, self.dtype)
-            out.append(ids if parts == [None] else ids[self.skip :])
-        return out
-
+        whole = iter(self._ids([texts[i] for i in missing if split[i] == [None]]))
+        for i in missing:
+            raws[i] = next(whole) if split[i] == [None] else self._joined(split[i], table)
+        return [
+            np.frombuffer(raw, self.dtype)[0 if parts == [None] else self.skip :] for raw, parts in zip(raws, split)
+        ]
+
+    @staticmethod
+    def _joined(parts: list, table: dict) -> bytes | None:
+        try:
+            return b"".join(map(table.__getitem__, parts))
+        except KeyError:
+            return None
 
     def count(self, pieces: list[list[str]]) -> list[np.ndarray]:
         """Tokens of every pre-token, for a byte-level tokenizer; a pre-token is encoded as it stands."""
@@ -144,11 +156,11 @@ class _Chained(dict):
         return self.remembered[key]
 
 
-def encoder(path: str, kind: str) -> Encoder:
-    """The worker's encoder of a file, with its memory of pieces."""
-    if (path, kind) not in _encoders:
-        _encoders[path, kind] = Encoder(path, kind)
-    return _encoders[path, kind]
+def encoder(path: str, kind: str, ordinary: bool = False) -> Encoder:
+    """The worker's encoder of a file and a setting, with its memory of pieces."""
+    if (path, kind, ordinary) not in _encoders:
+        _encoders[path, kind, ordinary] = Encoder(path, kind, ordinary)
+    return _encoders[path, kind, ordinary]
 
 
 def token_file(name: str) -> str:

@@ -1,8 +1,10 @@
 """Packing documents into training sequences by vector best-fit."""
 
+import zlib
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import plain, stored
@@ -16,32 +18,34 @@ def pieces(
     docs: DataFrame, tokenizer: str, kind: str, capacity: int, end_id: int,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``(uid, id, piece, start, length, ids)``: every document's ids and its end id.
+    """``(uid, id, piece, start, length, ids, ids_crc32)``: every document's ids and its end id.
 
     Longer documents are cut into pieces of ``capacity``, of which the first may be shorter.
-    ``ids`` holds 16-bit numbers if the vocabulary allows, else 32-bit ones. A null text is an
-    empty one: its end id alone. Rows are told apart by ``uid``, so repeated ones all stay.
+    ``ids`` holds 16-bit numbers if the vocabulary allows, else 32-bit ones; ``ids_crc32`` is the
+    checksum of a piece's ids as 32-bit numbers. A null text is an empty one: its end id alone.
+    Rows are told apart by ``uid``, so repeated ones all stay; an empty table gives none.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         coder = encoder(tokenizer, kind)
+        size, end = coder.dtype.itemsize, np.array([end_id], coder.dtype).tobytes()
         for batch in batches:
             for at in range(0, len(batch), 2048):
                 rows, out = batch.iloc[at : at + 2048], []
                 for name, got in zip(rows["id"], coder.encode(rows["text"].tolist())):
-                    ids = np.append(got, end_id).astype(coder.dtype)
-                    first = len(ids) % capacity or capacity
-                    cuts = [0, *range(first, len(ids) + 1, capacity)]
-                    out += [(name, n, a, b - a, ids[a:b].tobytes()) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-                table = pd.DataFrame(out, columns=["id", "piece", "start", "length", "ids"])
+                    raw, n = got.tobytes() + end, len(got) + 1
+                    cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
+                    for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                        piece = raw[a * size : b * size]
+                        out.append((name, k, a, b - a, piece, zlib.crc32(np.frombuffer(piece, coder.dtype).astype("<u4"))))
+                table = pd.DataFrame(out, columns=["id", "piece", "start", "length", "ids", "ids_crc32"])
                 yield table.assign(id=plain(table["id"]))
 
     chosen = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    cut = chosen.mapInPandas(run, "id string, piece int, start bigint, length bigint, ids binary")
-    return cut.select(
-        F.monotonically_increasing_id().alias("uid"), F.col("id").cast(id_type).alias(id_col), "piece", "start", "length", "ids"
-    )
+    cut = chosen.mapInPandas(run, "id string, piece int, start bigint, length bigint, ids binary, ids_crc32 bigint")
+    uid = F.monotonically_increasing_id().alias("uid")
+    return cut.select(uid, F.col("id").cast(id_type).alias(id_col), "piece", "start", "length", "ids", "ids_crc32")
 
 
 def best_fit(
@@ -58,26 +62,27 @@ def best_fit(
     bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
     order = np.argsort(-lengths, kind="stable")
     shortest = lengths.min(initial=0)
-    left = np.zeros((max(len(lengths), 1), 3))  # residuals of the open bins, in the order of opening
-    name = np.zeros(len(left), np.int64)
+    left = np.zeros((3, max(len(lengths), 1)))  # residuals of the open bins, in the order of opening
+    name = np.zeros(left.shape[1], np.int64)
     n = opened = 0
     for step, k in enumerate(order):
         need = np.array([lengths[k], 1, lengths[k] ** 2], float)
-        if step % 512 == 0 and n:  # bins that can't take even the shortest are closed
-            open_ = np.flatnonzero((left[:n, 0] >= shortest) & (left[:n, 1] >= 1))
-            left[: len(open_)], name[: len(open_)], n = left[open_], name[open_], len(open_)
-        fits = np.flatnonzero((left[:n] >= need).all(axis=1))
+        if step % 64 == 0 and n:  # bins that can't take even the shortest are closed
+            open_ = np.flatnonzero((left[0, :n] >= shortest) & (left[1, :n] >= 1))
+            left[:, : len(open_)], name[: len(open_)], n = left[:, open_], name[open_], len(open_)
+        fits = np.flatnonzero(left[0, :n] >= need[0])
+        fits = fits[(left[1, fits] >= 1) & (left[2, fits] >= need[2])]
         if len(fits):
             if by == "norm":
-                rest = (left[fits] - need) / limit
-                best = fits[np.argmin((rest * rest) @ weight)]
+                rest = (left[:, fits] - need[:, None]) / limit[:, None]
+                best = fits[np.argmin(weight @ (rest * rest))]
             else:
-                best = fits[np.argmax((left[fits] / limit * (need / limit)) @ weight)]
+                best = fits[np.argmax((weight * need / limit**2) @ left[:, fits])]
         else:
-            best, left[n], name[n] = n, limit, opened
+            best, left[:, n], name[n] = n, limit, opened
             n, opened = n + 1, opened + 1
-        bins[k], offsets[k] = name[best], limit[0] - left[best, 0]
-        left[best] -= need
+        bins[k], offsets[k] = name[best], limit[0] - left[0, best]
+        left[:, best] -= need
     return bins, offsets
 
 
@@ -111,17 +116,13 @@ def pack(
 def pack_documents(
     docs: DataFrame, tokenizer: str, kind: str = "bytes", capacity: int = 2048, end_id: int = 0,
     max_docs: int | None = None, max_cost: int | None = None, id_col: str = "doc_id", text_col: str = "text",
-    digest: tuple[str, Column] | None = None,
 ) -> DataFrame:
-    """``(id, piece, start, length, ids, sequence_id, offset)`` per piece; an empty table gives none.
+    """``(id, piece, start, length, ids, ids_crc32, sequence_id, offset)`` per piece; an empty table gives none.
 
-    ``digest``, a name and an expression of ``ids``, replaces the ids by something smaller before
-    pieces and places meet in a shuffle.
+    Whoever selects the checksum and not the ids shuffles no ids.
     """
     cut = stored(pieces(docs, tokenizer, kind, capacity, end_id, id_col, text_col), "pieces")
     placed = stored(pack(cut, capacity, max_docs, max_cost), "places")
-    if digest:
-        cut = cut.withColumn(digest[0], digest[1]).drop("ids")
     return cut.join(placed, "uid").drop("uid")
 
 

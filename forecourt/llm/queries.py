@@ -1,13 +1,9 @@
 """Registered queries of the operators, one for each, over whole tables with production parameters."""
 
 import uuid
-import zlib
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from forecourt.llm import (
     decontaminate, line_dedup, packing, quality, sharding, simhash, token_counts, token_files, toxicity, url_filter,
@@ -67,14 +63,8 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed(read(spark, folder, "documents"))
 
 
-@F.pandas_udf(LongType())
-def _ids_crc32(ids: pd.Series) -> pd.Series:
-    """crc32 of 16-bit ids written as little-endian 32-bit numbers."""
-    return ids.map(lambda raw: zlib.crc32(np.frombuffer(raw, "<u2").astype("<u4").tobytes())).astype("int64")
-
-
 def packed(docs: DataFrame) -> DataFrame:
-    found = packing.pack_documents(docs, token_file(BYTE_BPE), "bytes", capacity=2048, end_id=0, digest=("ids_crc32", _ids_crc32("ids")))
+    found = packing.pack_documents(docs, token_file(BYTE_BPE), "bytes", capacity=2048, end_id=0)
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
