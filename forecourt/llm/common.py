@@ -25,10 +25,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    remove_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a file or folder of ours removed when the driver's Python ends."""
     if not _written:
         atexit.register(_remove)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
 
 
 def _remove() -> None:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import (
-    decontaminate, line_dedup, packing, quality, sharding, simhash, token_counts, token_files, toxicity, url_filter,
+    bpe_transducer, decontaminate, line_dedup, packing, prefix_trie, quality, sharding, simhash, token_counts, token_files,
+    toxicity, url_filter, whitening,
 )
 from forecourt.llm.common import read
 from forecourt.llm.encoding import token_file
@@ -98,6 +99,24 @@ def toxicity_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(read(spark, folder, "embeddings"), components=8)
+    return found.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def transducer_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = bpe_transducer.encode_documents(read(spark, folder, "documents"), token_file(WORD_BPE))
+    text = bpe_transducer.decoded(token_file(WORD_BPE))
+    return encoded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": simhash_clusters,
     "op2_quality_rules": quality_rules,
@@ -109,6 +128,9 @@ QUERIES = {
     "op8_token_counts": edited_token_counts,
     "op9_sharding": document_shards,
     "op10_toxicity": toxicity_scores,
+    "op11_embedding_whitening": whitened_embeddings,
+    "op12_bpe_transducer": transducer_round_trip,
+    "op13_conversation_trie": conversation_trie,
 }
 
 #: The others need a tokenizer, a learned model, an exclusive-or of hashes or an edit distance.
@@ -127,5 +149,38 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op13_conversation_trie": r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(x ORDER BY pos) AS xs FROM turns GROUP BY conv_id
+), digits AS (
+  SELECT conv_id, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda c: list_transform(range(8), lambda i: CAST((ord(c) >> CAST(i AS INT)) & 1 AS BIGINT)))) AS bits FROM own
+), crc AS (
+  SELECT conv_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bits),
+    lambda a, b: xor(a >> 1, CASE WHEN xor(a, b) & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END)), CAST(4294967295 AS BIGINT)) % 6 AS h FROM digits
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.xs, [])[1:h], o.xs[h + 1:]) AS path
+  FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), members AS (
+  SELECT conv_id, path[1:d] AS node, d AS depth, d = len(path) AS is_end FROM rebuilt, range(0, 1 + len(path)) r(d)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM members GROUP BY node, depth
+), own_values AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.node[1:n.depth] = n.node) AS n_children,
+         (n_convs - 1) * coalesce(length(node[depth].t), 0) AS saved
+  FROM nodes n
+), sums AS (
+  SELECT v.node[1:d] AS node, d AS depth, count(*) FILTER (v.n_children = 0) AS n_leaves, CAST(sum(v.saved) AS BIGINT) AS saved_tokens
+  FROM own_values v, range(0, 1 + v.depth) r(d) GROUP BY 1, 2
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+FROM own_values v JOIN sums s ON s.depth = v.depth AND s.node = v.node
+LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.node = v.node[1:v.depth - 1]
 """,
 }
