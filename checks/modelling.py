@@ -1,11 +1,12 @@
 """Preparation, evaluation, models, segments and anomalies.
 
 Metrics are checked on a predictor that SQL can repeat: the train split's median per make.
-Tree ensembles, boosting and K-Means have no SQL and are registered without. Every model runs
-with the operators' defaults: sizes, cross-validation, numbers of clusters and starts.
+Full ensembles and K-Means have no SQL and are registered without; small trees, steps and folds made by
+the same code have. Every model runs with the operators' defaults: sizes, cross-validation, numbers
+of clusters and starts.
 """
 
-
+from dataclasses import replace
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -92,7 +93,7 @@ def _ols(e):
 def _ridge(e):
     rows = _one_feature(prep.standardize(e, ["cylinders"]).withColumn("cylinders", F.col("cylinders_z")))
     rows = rows.select("features", "log_price")
-    fitted = L.ridge(rows, alpha=5000.0).fit(rows)
+    fitted = L.ridge(alpha=5000.0).fit(rows)
     return e.sparkSession.createDataFrame(
         [(float(fitted.coefficients[0]), float(fitted.intercept))], "slope double, intercept double"
     )
@@ -195,13 +196,47 @@ def _normal_equations(e):
 
 
 def _stump(e):
-    """One boosting step of depth one on a two-valued feature: the label's mean on either side."""
+    """One boosting step of depth one, taken in full, on a two-valued feature: the label's mean on either side."""
     rows = VectorAssembler(inputCols=["is_luxury"], outputCol="features").transform(e)
-    factory = L.estimators({"Gradient Boosting": {"maxIter": 1, "maxDepth": 1}})["Gradient Boosting"]
-    scored = factory(rows).fit(rows).transform(rows)
+    spec = L.estimators({"Gradient Boosting": {"maxIter": 1, "maxDepth": 1}})["Gradient Boosting"]
+    scored = replace(spec, rate=1.0).fit(rows).transform(rows)
     return scored.groupBy("is_luxury").agg(F.avg("prediction").alias("prediction"), F.count("*").alias("n"))
 
 
+def _lasso_of_one(e):
+    """A lasso that keeps its coefficient, with R² of every fold's own model."""
+    rows = prep.standardize(e, ["cylinders"]).withColumn("cylinders", F.col("cylinders_z"))
+    rows = _one_feature(rows).select("listing_id", "features", "log_price")
+    spec = L.lasso(alpha=0.05)
+    fitted = spec.fit(rows)
+    slope = e.sparkSession.createDataFrame([(float(fitted.coefficients[0]), fitted.intercept)], "slope double, intercept double")
+    return slope.crossJoin(L.fold_r2(rows, spec))
+
+
+#: Features of the small trees: each value is common enough for a bin of its own.
+SPLIT_ON = ("cylinders", "year", "condition_score", "mileage")
+
+
+def _split_rows(e):
+    return VectorAssembler(inputCols=list(SPLIT_ON), outputCol="features").transform(e)
+
+
+def _small(spec):
+    def query(e):
+        rows = _split_rows(e)
+        return spec.fit(rows).transform(rows).select("listing_id", "prediction")
+    return query
+
+
+def _class_step(e):
+    """Probabilities after one step of boosting all classes together."""
+    position = F.array_position(F.array(*[F.lit(b) for b in BODIES]), F.col("body_type")) - 1
+    rows = _split_rows(e).withColumn("label", position.cast("double"))
+    spec = replace(K.estimator(K.BOOSTING, {"maxIter": 1, "maxDepth": 2}), classes=len(BODIES))
+    scored = spec.fit(rows).transform(rows)
+    return scored.select("listing_id", *[F.col("probability")[i].alias(f"p{i}") for i in range(len(BODIES))])
+
+
 def _scored(e):
     forest = A.fit_isolation_forest(e)
     return A.anomaly_table(A.score_isolation_forest(e, forest))
@@ -213,7 +248,13 @@ QUERIES = {
     "fit_preprocessor": eng(_preprocessed),
     "split": eng(lambda e: _parts(*prep.split(e))),
     "stratified_split": eng(lambda e: _parts(*prep.stratified_split(e, "body_type"))),
-    "kfold_r2": eng(lambda e: L.kfold_r2(e, lambda train: L.lasso())),
+    "kfold_r2": eng(lambda e: L.kfold_r2(e, L.lasso())),
+    "kfold_r2_linear": eng(lambda e: L.fold_r2(_one_feature(e), L.ols())),
+    "lasso_one_feature": eng(_lasso_of_one),
+    "forest_tree": eng(_small(replace(L.random_forest(numTrees=1, maxDepth=2), bootstrap=False))),
+    "boosting_steps": eng(_small(L.gradient_boosting(maxIter=3, maxDepth=2))),
+    "second_order_tree": eng(_small(replace(L.subsampled_boosting(maxIter=1, maxDepth=2), row_share=1.0, column_share=1.0))),
+    "class_boosting_step": eng(_class_step),
     "prediction_table": eng(median_predictions),
     "regression_metrics": eng(lambda e: M.regression_metrics(median_predictions(e))),
     "mape": eng(lambda e: M.mape(median_predictions(e))),
@@ -323,7 +364,71 @@ l AS (SELECT x0, sum(w * k.n * (t - mt) ** 2) AS stt, sum(w * (t - mt) * (sy - k
 SELECT round(x0, 4) AS x, round(my - sty / stt * mt, 4) AS fitted, CAST(n AS BIGINT) AS n FROM l JOIN m USING (x0)"""
 
 
+def _grown(name, rows, min_leaf=2, penalty=0, min_split=5):
+    """SQL of a tree of depth two over ``rows`` (listing_id, the features, g): ``name``2 has every row's node."""
+    features = " UNION ALL ".join(
+        f"SELECT node, {i} AS f, CAST({c} AS DOUBLE) AS v, g FROM {{0}}" for i, c in enumerate(SPLIT_ON))
+    value = "CASE b.f " + " ".join(f"WHEN {i} THEN r.{c}" for i, c in enumerate(SPLIT_ON)) + " END"
+    sql, last = f"{name}0 AS MATERIALIZED (SELECT *, 1 AS node FROM {rows})", f"{name}0"
+    for depth in (1, 2):
+        sql += f""", {name}c{depth} AS (SELECT node, f, v, count(*) AS n, sum(g) AS s FROM ({features.format(last)}) GROUP BY ALL),
+{name}w{depth} AS (SELECT node, f, v, sum(n) OVER up AS nl, sum(s) OVER up AS sl, sum(n) OVER (PARTITION BY node, f) AS n, sum(s) OVER (PARTITION BY node, f) AS s
+ FROM {name}c{depth} WINDOW up AS (PARTITION BY node, f ORDER BY v)),
+{name}g{depth} AS (SELECT *, sl * sl / (nl + {penalty}) + (s - sl) * (s - sl) / (n - nl + {penalty}) - s * s / (n + {penalty}) AS gain
+ FROM {name}w{depth} WHERE nl >= {min_leaf} AND n - nl >= {min_leaf} AND n >= {min_split}),
+{name}b{depth} AS MATERIALIZED (SELECT * FROM {name}g{depth} WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1),
+{name}{depth} AS MATERIALIZED (SELECT r.* EXCLUDE (node), CASE WHEN b.node IS NULL THEN r.node WHEN {value} > b.v THEN 2 * r.node + 1 ELSE 2 * r.node END AS node
+ FROM {last} r LEFT JOIN {name}b{depth} b ON r.node = b.node)"""
+        last = f"{name}{depth}"
+    return sql
+
+
+_ROWS = f"eng_rows AS MATERIALIZED (SELECT listing_id, {', '.join(SPLIT_ON)}, log_price AS y, body_type FROM eng)"
+_FOREST_TREE = (f", {_ROWS}, t AS (SELECT *, y AS g FROM eng_rows), {_grown('a', 't')} "
+                "SELECT listing_id, round(avg(g) OVER (PARTITION BY node), 6) AS prediction FROM a2")
+
+
+def _steps(n, rate, penalty=0, **limits):
+    sql, last = f", {_ROWS}, p0 AS (SELECT *, avg(y) OVER () AS p FROM eng_rows)", "p0"
+    for k in range(n):
+        leaf = f"sum(g) OVER (PARTITION BY node) / (count(*) OVER (PARTITION BY node) + {penalty})"
+        sql += (f", r{k} AS (SELECT *, y - p AS g FROM {last}), {_grown(f's{k}_', f'r{k}', penalty=penalty, **limits)}, "
+                f"p{k + 1} AS MATERIALIZED (SELECT * EXCLUDE (g, node, p), p + {rate} * {leaf} AS p FROM s{k}_2)")
+        last = f"p{k + 1}"
+    return sql + f" SELECT listing_id, round(p, 6) AS prediction FROM {last}"
+
+
+def _class_sql():
+    n = len(BODIES)
+    sql = f", {_ROWS}"
+    for k, body in enumerate(BODIES):
+        prior = f"(SELECT avg(CAST(body_type = '{body}' AS INT)) FROM eng)"
+        sql += f""", q{k} AS (SELECT * EXCLUDE (g0), g0 - {prior} AS g FROM (SELECT *, CAST(body_type = '{body}' AS INT) AS g0 FROM eng_rows)),
+{_grown(f'k{k}_', f'q{k}', min_leaf=1, min_split=2)},
+m{k} AS (SELECT listing_id, ln({prior}) + 0.1 * {n - 1} / {n} * sum(g) OVER (PARTITION BY node) / sum(abs(g) * (1 - abs(g))) OVER (PARTITION BY node) AS m FROM k{k}_2)"""
+    joined = "m0 " + " ".join(f"JOIN m{k} USING (listing_id)" for k in range(1, n))
+    total = " + ".join(f"exp(m{k}.m)" for k in range(n))
+    shares = ", ".join(f"exp(m{k}.m) / ({total}) AS x{k}" for k in range(n))
+    return sql + f", s AS (SELECT listing_id, {shares} FROM {joined}) SELECT listing_id, " + ", ".join(
+        f"round(x{k}, 6) AS p{k}" for k in range(n)) + " FROM s"
+
+
+_LINEAR_FOLDS = f""", f AS (SELECT {{x}} AS x, log_price AS y, {_FOLD} AS fold FROM eng),
+w AS (SELECT k.fold, (SELECT {{slope}} FROM f WHERE f.fold != k.fold) AS b, (SELECT avg(x) FROM f WHERE f.fold != k.fold) AS mx,
+ (SELECT avg(y) FROM f WHERE f.fold != k.fold) AS my FROM (SELECT DISTINCT fold FROM f) k),
+r AS (SELECT 1 - sum((y - my - b * (x - mx)) ** 2) / (var_pop(y) * count(*)) AS r2 FROM f JOIN w USING (fold) GROUP BY fold)"""
+_SHRUNK = "sign(covar_pop(y, x)) * greatest(abs(covar_pop(y, x)) - 0.05, 0) / var_pop(x)"
+
 ORACLES = {
+    "kfold_r2_linear": B.over_engineered(_LINEAR_FOLDS.format(x="cylinders", slope="regr_slope(y, x)")
+        + " SELECT round(avg(r2), 6) AS cv_mean, round(stddev_pop(r2), 6) AS cv_std FROM r"),
+    "lasso_one_feature": B.over_engineered(_LINEAR_FOLDS.format(x=_z("cylinders"), slope=_SHRUNK)
+        + f", o AS (SELECT {_SHRUNK} AS b, avg(x) AS mx, avg(y) AS my FROM f) SELECT round(any_value(b), 6) AS slope, round(any_value(my - b * mx), 6) AS intercept, "
+        "round(avg(r2), 6) AS cv_mean, round(stddev_pop(r2), 6) AS cv_std FROM o, r"),
+    "forest_tree": B.over_engineered(_FOREST_TREE),
+    "boosting_steps": B.over_engineered(_steps(3, 0.1)),
+    "second_order_tree": B.over_engineered(_steps(1, 0.1, penalty=1, min_leaf=3, min_split=2)),
+    "class_boosting_step": B.over_engineered(_class_sql()),
     "standardize": B.over_engineered("SELECT listing_id, " + ", ".join(
         f"round({_z(c)}, 6) AS {c}_z" for c in SEGMENT) + " FROM eng"),
     "ordinal_encode": B.over_engineered("SELECT listing_id, " + ", ".join(map(_code, CATEGORICAL)) + " FROM eng"),

@@ -67,8 +67,7 @@ def fit_ensemble(
     The scores have ``variant`` (-1: the model itself) and ``r2``; they are empty for classes.
     """
     yes = F.lit(True) if train is None else train
-    key = F.xxhash64("features", spec.label) if key is None else key
-    # An open plan would be run once per scan; the vector's size comes with its first row.
+    key = F.xxhash64(vector_to_array("features"), F.col(spec.label)) if key is None else key
     size = len(df.select(vector_to_array("features")).first()[0])
     layout = T.fit_layout(df.where(yes), size)
     matrix = T.build_matrix(df, layout, spec.label, key, F.lit(-1) if fold is None else fold, yes)

@@ -143,7 +143,7 @@ def compare_models(metrics: DataFrame, columns: Sequence[str], best_by: str,
 
 def feature_importance(model, names: Sequence[str], spark, top_n: int | None = None) -> DataFrame:
     """Importances of a fitted tree ensemble by feature name, largest first."""
-    values = [float(v) for v in model.featureImportances.toArray()]
-    table = spark.createDataFrame(list(zip(names, values)), "feature string, importance double")
-    ranked = table.orderBy(F.desc("importance"), "feature")
+    listed = spark.createDataFrame(list(enumerate(names)), "number int, feature string")
+    found = model.importances().withColumnRenamed("feature", "number")
+    ranked = listed.join(F.broadcast(found), "number").select("feature", "importance").orderBy(F.desc("importance"), "feature")
     return ranked if top_n is None else ranked.limit(top_n)

@@ -1,17 +1,20 @@
-"""Price regression on the log scale with Spark ML."""
+"""Price regression on the log scale: linear models from moments, forests and boosting over binned features."""
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt import schema as S
 from forecourt import vocabulary as V
-from forecourt.operators import evaluate, prep
+from forecourt.operators import evaluate, linear, prep
+from forecourt.operators.ensembles import Ensemble, fit_ensemble
+from forecourt.operators.linear import Linear
+from forecourt.operators.trees import Growth
+from forecourt.session import discard, stored
 
 LABEL = "log_price"
 
@@ -26,80 +29,82 @@ SIZES = {
 TREE_MODELS = tuple(SIZES)
 
 
-def ols(label: str = LABEL) -> LinearRegression:
-    return LinearRegression(labelCol=label, regParam=0.0)
+def ols(label: str = LABEL, scaled: int = 0) -> Linear:
+    return Linear("ols", label, 0.0, scaled)
 
 
-def ridge(train: DataFrame, label: str = LABEL, alpha: float = RIDGE_ALPHA) -> LinearRegression:
-    """Penalty ``alpha`` on the summed squared error.
+def ridge(label: str = LABEL, alpha: float = RIDGE_ALPHA, scaled: int = 0) -> Linear:
+    """Penalty ``alpha`` on the summed squared error."""
+    return Linear("ridge", label, alpha, scaled)
 
-    Spark averages the loss over rows and divides the L2 term by the label's population
-    deviation, so the same penalty is ``alpha * sd / n`` there.
-    """
-    n, sd = train.agg(F.count(label), F.stddev_pop(label)).first()
-    return LinearRegression(
-        labelCol=label, elasticNetParam=0.0, standardization=False, regParam=alpha * (sd or 0.0) / n
-    )
+
+def lasso(label: str = LABEL, alpha: float = LASSO_ALPHA, scaled: int = 0) -> Linear:
+    """Penalty ``alpha`` on half the mean squared error."""
+    return Linear("lasso", label, alpha, scaled)
+
+
+def random_forest(label: str = LABEL, numTrees: int = 300, maxDepth: int = 25, seed: int = 42) -> Ensemble:
+    """Trees over rows drawn with replacement; every feature may split every node."""
+    return Ensemble("forest", numTrees, Growth(maxDepth, min_split=5, min_leaf=2), label, seed=seed)
 
 
-def lasso(label: str = LABEL, alpha: float = LASSO_ALPHA) -> LinearRegression:
-    return LinearRegression(
-        labelCol=label, elasticNetParam=1.0, standardization=False, regParam=alpha
-    )
+def gradient_boosting(label: str = LABEL, maxIter: int = 300, maxDepth: int = 8, seed: int = 42) -> Ensemble:
+    return Ensemble("boosting", maxIter, Growth(maxDepth, min_split=5, min_leaf=2), label, rate=0.1, seed=seed)
+
+
+def subsampled_boosting(label: str = LABEL, maxIter: int = 400, maxDepth: int = 10, seed: int = 42) -> Ensemble:
+    """Second-order boosting: leaves are shrunk by a penalty of 1 and hold a curvature of 3 at least.
+
+    Rows and columns are drawn once per step.
+    """
+    growth = Growth(maxDepth, min_weight=3.0, penalty=1.0)
+    return Ensemble("boosting", maxIter, growth, label, rate=0.1, row_share=0.8, column_share=0.8, seed=seed)
 
 
-def _trees(name: str, label: str, seed: int, size: Mapping[str, int]):
-    size = dict(size)
-    if name == "Random Forest":
-        return RandomForestRegressor(
-            labelCol=label, featureSubsetStrategy="all", minInstancesPerNode=2, seed=seed, **size
-        )
-    if name == "Gradient Boosting":
-        return GBTRegressor(labelCol=label, stepSize=0.1, minInstancesPerNode=2, seed=seed, **size)
-    return GBTRegressor(
-        labelCol=label, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-        minInstancesPerNode=3, seed=seed, **size,
-    )
+_TREES = {"Random Forest": random_forest, "Gradient Boosting": gradient_boosting, "Subsampled Boosting": subsampled_boosting}
 
 
 def estimators(sizes: Mapping[str, Mapping[str, int]] = SIZES, label: str = LABEL,
-               seed: int = 42) -> dict[str, Callable]:
-    """Model name to a function from the training table to an unfitted estimator."""
-    factories: dict[str, Callable] = {
-        "Linear Regression": lambda train: ols(label),
-        "Ridge Regression": lambda train: ridge(train, label),
-        "Lasso Regression": lambda train: lasso(label),
+               seed: int = 42) -> dict[str, Linear | Ensemble]:
+    """Model name to what to fit; ``fit`` takes a table with ``features`` and the label."""
+    scaled = len(V.NUMERIC_FEATURES)
+    found: dict[str, Linear | Ensemble] = {
+        "Linear Regression": ols(label, scaled),
+        "Ridge Regression": ridge(label, scaled=scaled),
+        "Lasso Regression": lasso(label, scaled=scaled),
     }
-    for name in SIZES:
-        size = {**SIZES[name], **sizes.get(name, {})}
-        factories[name] = lambda train, n=name, s=size: _trees(n, label, seed, s)
-    return factories
+    return found | {name: _TREES[name](label, **{**SIZES[name], **sizes.get(name, {})}, seed=seed) for name in SIZES}
 
 
-def fit_regressor(train: DataFrame, factory: Callable) -> PipelineModel:
+def fit_regressor(train: DataFrame, estimator: Linear | Ensemble) -> PipelineModel:
     """Preprocessor and regressor as one persistable model."""
     pre = prep.fit_preprocessor(train)
-    vectors = pre.transform(train).select("features", LABEL)
-    return PipelineModel(stages=[pre, factory(vectors).fit(vectors)])
+    return PipelineModel(stages=[pre, estimator.fit(pre.transform(train).select("features", LABEL))])
 
 
-def kfold_r2(df: DataFrame, factory: Callable, k: int = 5) -> DataFrame:
-    """Mean and population deviation of R² over ``k`` folds, refitting everything per fold.
+def fold_r2(vectors: DataFrame, estimator: Linear | Ensemble, k: int = 5) -> DataFrame:
+    """Mean and population deviation of R² over ``k`` folds of a table with ``listing_id``, ``features`` and the label.
 
-    Every fold reads the rows several times, so the columns it needs are kept meanwhile.
+    Linear models take one scan, ensembles grow the folds' models side by side. Codes and bins are those
+    of the table; deviations that scale a penalty are those of the rows that a fold's model learns from.
     """
-    numeric, categorical = V.feature_columns()
-    marked = df.select(*numeric, *categorical, LABEL, prep.fold(k).alias("_fold")).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    scores = []
-    for i in range(k):
-        model = fit_regressor(marked.where(F.col("_fold") != i), factory)
-        held_out = model.transform(marked.where(F.col("_fold") == i))
-        scores.append((evaluate.r2(held_out, LABEL, "prediction").first()[0],))
-    marked.unpersist()
-    table = df.sparkSession.createDataFrame(scores, "r2 double")
-    return table.agg(F.avg("r2").alias("cv_mean"), F.stddev_pop("r2").alias("cv_std"))
+    if isinstance(estimator, Linear):
+        scores = linear.fold_scores(linear.fold_moments(vectors, estimator.label, prep.fold(k)), estimator)
+    else:
+        found = fit_ensemble(vectors, estimator, F.xxhash64("listing_id"), None, prep.fold(k), k)[1]
+        scores = found.loc[found["variant"] >= 0, "r2"].dropna().tolist()
+    return _mean_and_deviation(vectors, scores)
+
+
+def _mean_and_deviation(df: DataFrame, scores: Sequence[float]) -> DataFrame:
+    row = (float(np.mean(scores)), float(np.std(scores))) if len(scores) else (None, None)
+    return df.sparkSession.createDataFrame([row], "cv_mean double, cv_std double")
+
+
+def kfold_r2(df: DataFrame, estimator: Linear | Ensemble, k: int = 5) -> DataFrame:
+    """:func:`fold_r2` of engineered listings."""
+    pre = prep.fit_preprocessor(df)
+    return fold_r2(pre.transform(df).select("listing_id", "features", LABEL), estimator, k)
 
 
 @dataclass
@@ -121,41 +126,47 @@ def train_regression(df: DataFrame, names: Sequence[str] | None = None,
                      seed: int = 42) -> PriceModels:
     """Fit every model on the train split, score it on the test split, keep the best.
 
-    The best model has the highest test R² on the log scale; the first wins a tie. Only
-    numbers per model come to the driver.
+    The rows are prepared and stored once, with their side and fold. Linear models come from one scan
+    of moments; an ensemble grows with its folds' models in the same jobs. The
+    best model has the highest test R² on the log scale; the first wins a tie. Only
+    numbers per model and boosted trees come to the driver.
     """
     spark = df.sparkSession
     numeric, categorical = V.feature_columns()
-    rows_used = df.select("listing_id", "price", LABEL, *numeric, *categorical).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    train, test = prep.split(rows_used, seed=seed)
-    pre = prep.fit_preprocessor(train)
-    keep = ("listing_id", "features", "price", LABEL)
-    seen, held_out = (
-        pre.transform(part).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-        for part in (train, test)
-    )
-    factories = estimators(sizes, seed=seed)
+    rows_used = df.select("listing_id", "price", LABEL, *numeric, *categorical)
+    pre = prep.fit_preprocessor(prep.split(rows_used, seed=seed)[0])
+    is_train = prep.hash_share(seed) < 0.8
+    vectors = stored(pre.transform(rows_used).select(
+        "listing_id", "features", "price", LABEL, is_train.alias("_train"), prep.fold(max(cv_folds, 1)).alias("_fold")), "vectors")
+    specs = estimators(sizes, seed=seed)
+    chosen = list(names or specs)
+    moments = None
     rows, models, importances = [], {}, {}
-    for name in names or factories:
-        fitted = factories[name](seen).fit(seen)
+    for name in chosen:
+        spec = specs[name]
+        if isinstance(spec, Linear):
+            moments = moments or linear.fold_moments(vectors, LABEL, F.col("_fold"), F.col("_train"))
+            seen = sum(m for (_, train), m in moments.items() if train)
+            fitted = spec.model(seen)
+            train_r2 = linear.r2(seen, fitted.coefficients, fitted.intercept)
+            scores = linear.fold_scores(moments, spec) if cv_folds else []
+        else:
+            fitted, found = fit_ensemble(vectors, spec, F.xxhash64("listing_id"), F.col("_train"), F.col("_fold"), cv_folds)
+            r2 = dict(zip(found["variant"], found["r2"]))
+            train_r2, scores = r2.pop(-1), list(r2.values())
+            importances[name] = evaluate.feature_importance(fitted, _feature_names(), spark)
         models[name] = PipelineModel(stages=[pre, fitted])
-        scored = evaluate.prediction_table(fitted.transform(held_out))
+        scored = evaluate.prediction_table(fitted.transform(vectors.where(~F.col("_train"))))
         row = evaluate.regression_metrics(scored).first()
         values = {
-            "train_r2": evaluate.r2(fitted.transform(seen), LABEL, "prediction").first()[0],
-            "test_r2": row["r2_log"], "test_r2_original_scale": row["r2"],
+            "train_r2": train_r2, "test_r2": row["r2_log"], "test_r2_original_scale": row["r2"],
             "rmse": row["rmse"], "mae": row["mae"], "mape": row["mape"],
         }
         if cv_folds:
-            cv = kfold_r2(rows_used, factories[name], cv_folds).first()
+            cv = _mean_and_deviation(df, scores).first()
             values |= {"cv_mean": cv["cv_mean"], "cv_std": cv["cv_std"]}
         rows += [("regression", name, metric, value) for metric, value in values.items()]
-        if name in TREE_MODELS:
-            importances[name] = evaluate.feature_importance(fitted, _feature_names(), spark)
-    for kept in (seen, held_out, rows_used):
-        kept.unpersist()
+    discard(vectors)
     test_r2 = {model: value for _, model, metric, value in rows if metric == "test_r2"}
     best = max(test_r2, key=lambda m: float("-inf") if test_r2[m] is None else test_r2[m])
     predictions = evaluate.prediction_table(models[best].transform(prep.split(df, seed=seed)[1]))

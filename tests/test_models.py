@@ -65,7 +65,7 @@ def test_ridge_approaches_least_squares_and_matches_its_closed_form(spark):
     rows = spark.createDataFrame([(*map(float, a), float(b)) for a, b in zip(x, y)], "a double, b double, c double, log_price double")
     rows = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
     for alpha in (1e-9, 10.0, 500.0):
-        fitted = regress.ridge(rows, alpha=alpha).fit(rows)
+        fitted = regress.ridge(alpha=alpha).fit(rows)
         want = np.linalg.solve(x.T @ x + alpha * np.eye(3), x.T @ (y - y.mean()))
         assert fitted.coefficients.toArray() == pytest.approx(want, rel=1e-6)
     assert not regress.lasso().fit(rows).coefficients.toArray().any()
