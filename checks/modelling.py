@@ -8,6 +8,7 @@ of clusters and starts.
 
 from dataclasses import replace
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from forecourt.operators import anomaly as A
 from forecourt.operators import classify as K
 from forecourt.operators import evaluate as M
 from forecourt.operators import grouping as G
+from forecourt.operators import lloyd
 from forecourt.operators import prep
 from forecourt.operators import regress as L
 from forecourt.operators import segment as U
@@ -163,6 +165,14 @@ def _silhouette(e):
     return U.silhouette(rows, cols)
 
 
+def _lloyd_steps(e):
+    """Two runs of two steps side by side; every center is the mean of the rows that were nearest to it."""
+    points = e.select(F.array(F.col("price"), F.col("mileage").cast("double")).alias("x"))
+    found = lloyd.lloyd(points, {"three": np.array(CENTERS), "two": np.array(CENTERS[:2])}, max_iter=2, tol=0.0)
+    rows = [(run, i, *map(float, c)) for run, cs in found.items() for i, c in enumerate(cs)]
+    return e.sparkSession.createDataFrame(rows, "run string, cluster int, price double, mileage double")
+
+
 def _pca_pair(e):
     rows = U.pca_project(e, 2, ["cylinders", "price"])
     return rows.select("listing_id", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2"))
@@ -280,6 +290,7 @@ QUERIES = {
     "gradient_boosting_classifier": eng(_classified(K.BOOSTING)),
     "class_probabilities": eng(_probabilities),
     "kmeans_sweep": eng(lambda e: U.kmeans_sweep(e).sweep),
+    "kmeans_steps": eng(_lloyd_steps, 3),
     "silhouette": eng(_silhouette),
     "assign_cluster": eng(lambda e: U.assign_cluster(e, ["price", "mileage"], CENTERS).select("listing_id", "cluster")),
     "assign_cluster_missing": eng(lambda e: U.assign_cluster(
@@ -345,6 +356,22 @@ SELECT round(avg(CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE
    ON e0.own = e1.own AND e0.r = e1.r) s)"""
 _DIST = ", ".join(
     f"(price - {p}) ** 2 + (mileage - {m}) ** 2 AS d{i}" for i, (p, m) in enumerate(CENTERS))
+
+
+def _nearest(n, of):
+    """SQL of one Lloyd step: the mean of the rows nearest to each of ``n`` centers of the table ``of``."""
+    return (f"SELECT c.i, avg(e.price) AS p, avg(e.mileage) AS m FROM (SELECT price, mileage, (SELECT arg_min(i, (price - p) ** 2 + (mileage - m) ** 2) "
+            f"FROM {of}) AS i FROM eng) e RIGHT JOIN {of} c USING (i) WHERE c.i < {n} GROUP BY c.i")
+
+
+def _two_steps(name, n):
+    values = ", ".join(f"({i}, {p}::DOUBLE, {m}::DOUBLE)" for i, (p, m) in enumerate(CENTERS[:n]))
+    return (f"{name}0 AS (SELECT * FROM (VALUES {values}) t(i, p, m)), {name}1 AS MATERIALIZED ({_nearest(n, name + '0')}), "
+            f"{name}2 AS MATERIALIZED ({_nearest(n, name + '1')})")
+
+
+_LLOYD = ", " + _two_steps("three", 3) + ", " + _two_steps("two", 2) + " " + " UNION ALL ".join(
+    f"SELECT '{r}' AS run, CAST(i AS INT) AS cluster, round(p, 3) AS price, round(m, 3) AS mileage FROM {r}2" for r in ("three", "two"))
 _PROFILE = """p AS (SELECT is_luxury AS cluster, count(*) AS count, round_even(avg(price), 0) AS avg_price,
  round_even(avg(mileage), 0) AS avg_mileage, round_even(avg(car_age) * 10, 0) / 10 AS avg_car_age,
  round_even(avg(cylinders) * 10, 0) / 10 AS avg_cylinders, round_even(100 * avg(is_luxury) * 10, 0) / 10 AS luxury_pct FROM eng GROUP BY 1)"""
@@ -480,6 +507,7 @@ ORACLES = {
         "UNION ALL SELECT 'Lasso Regression', 'cv_std', round(stddev_pop(r2), 6) FROM r"),
     "restrict_classes": B.over_engineered("SELECT listing_id, body_type FROM eng WHERE body_type IN (SELECT body_type FROM eng GROUP BY 1 "
         "ORDER BY count(*) DESC, body_type LIMIT 4)"),
+    "kmeans_steps": B.over_engineered(_LLOYD),
     "silhouette": B.over_engineered(_SILHOUETTE),
     "assign_cluster": B.over_engineered(f", t AS (SELECT listing_id, {_DIST} FROM eng) SELECT listing_id, "
         "CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INT) AS cluster FROM t"),
