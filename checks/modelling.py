@@ -191,6 +191,11 @@ def _forest(e):
     return A.fit_isolation_forest(e, contamination=None).nodes
 
 
+def _samples(e):
+    drawn = A.tree_samples(e, e.count(), A.FEATURES, A.TREES, A.SAMPLE, 42, "listing_id")
+    return drawn.select("tree", F.col("_key").alias("listing_id"), F.col("_rank").alias("rank"))
+
+
 def partly_missing(df, column):
     """``column`` without its values where the year is divisible by three."""
     return df.withColumn(column, F.when(F.col("year") % 3 != 0, F.col(column)))
@@ -300,6 +305,7 @@ QUERIES = {
     "cluster_profiles": eng(_profiles),
     "name_segments": eng(lambda e: U.name_segments(_profiles(e)).select("cluster", "segment_name")),
     "name_segments_larger": eng(lambda e: U.name_segments(_profiles(e), "larger").select("cluster", "segment_name")),
+    "isolation_samples": eng(_samples),
     "fit_isolation_forest": eng(_forest),
     "score_isolation_forest": eng(_scored),
     "anomaly_summary": eng(lambda e: A.anomaly_summary(fixed_scores(e))),
@@ -358,6 +364,23 @@ _DIST = ", ".join(
     f"(price - {p}) ** 2 + (mileage - {m}) ** 2 AS d{i}" for i, (p, m) in enumerate(CENTERS))
 
 
+def _chance(seed, *parts):
+    """SQL of a number in (0, 1) fixed by a seed and values."""
+    values = ", '|', ".join(parts)
+    return f"(CAST(concat('0x', substr(md5(concat('{seed}|', {values})), 1, 8)) AS BIGINT) + 0.5) / 4294967296.0"
+
+
+def _gap(j):
+    return f"CAST(floor(ln({_chance(43, j, 'listing_id')}) / ln(1 - p)) AS BIGINT)"
+
+
+_SAMPLED = f""", n AS (SELECT 2.0 * {A.SAMPLE} / count(*) AS p FROM eng),
+walk AS (SELECT listing_id, p, 0 AS j, {_gap('0')} AS t FROM eng, n
+ UNION ALL SELECT listing_id, p, j + 1, t + 1 + {_gap('j + 1')} FROM walk WHERE t < {A.TREES}),
+ranked AS (SELECT t, listing_id, row_number() OVER (PARTITION BY t ORDER BY {_chance(44, 't', 'listing_id')}, listing_id) AS r FROM walk WHERE t < {A.TREES})
+SELECT CAST(t AS INT) AS tree, listing_id, CAST(r AS INT) AS rank FROM ranked WHERE r <= {A.SAMPLE}"""
+
+
 def _nearest(n, of):
     """SQL of one Lloyd step: the mean of the rows nearest to each of ``n`` centers of the table ``of``."""
     return (f"SELECT c.i, avg(e.price) AS p, avg(e.mileage) AS m FROM (SELECT price, mileage, (SELECT arg_min(i, (price - p) ** 2 + (mileage - m) ** 2) "
@@ -508,6 +531,7 @@ ORACLES = {
     "restrict_classes": B.over_engineered("SELECT listing_id, body_type FROM eng WHERE body_type IN (SELECT body_type FROM eng GROUP BY 1 "
         "ORDER BY count(*) DESC, body_type LIMIT 4)"),
     "kmeans_steps": B.over_engineered(_LLOYD),
+    "isolation_samples": B.over_engineered(_SAMPLED).replace("WITH", "WITH RECURSIVE", 1),
     "silhouette": B.over_engineered(_SILHOUETTE),
     "assign_cluster": B.over_engineered(f", t AS (SELECT listing_id, {_DIST} FROM eng) SELECT listing_id, "
         "CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INT) AS cluster FROM t"),

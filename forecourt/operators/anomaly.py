@@ -38,11 +38,6 @@ def expected_path(n: int) -> float:
     return 2.0 * (math.log(n - 1) + _EULER) - 2.0 * (n - 1) / n
 
 
-def _uniform(seed: int, *columns: Column) -> Column:
-    hashed = F.xxhash64(F.lit(seed), *columns).bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))
-    return hashed.cast("double") / float(2**63)
-
-
 def _complete(features: Sequence[str]) -> Column:
     test = F.lit(True)
     for c in features:
@@ -50,24 +45,41 @@ def _complete(features: Sequence[str]) -> Column:
     return test
 
 
+def _draw(seed: int, *parts: Column) -> Column:
+    """A number in (0, 1) fixed by seed and values, the same in any engine that knows md5."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") + 0.5) / float(2**32)
+
+
 def tree_samples(df: DataFrame, n_rows: int, features: Sequence[str], trees: int, sample: int,
                  seed: int, key: str) -> DataFrame:
     """``sample`` random rows per tree, chosen by hash and so independent of partitioning.
 
-    Every complete row may enter every tree. A hash of row and tree, compared in place, leaves
-    about two samples per tree to rank, so about ``2 * sample * trees`` pairs are made whatever
-    the number of rows.
+    Every complete row may enter every tree, each with the same small chance, which leaves
+    about two samples per tree to rank. A row's first hash gives the gap before the first tree it
+    joins, which for nearly all rows of a large table lies beyond the last; further hashes
+    are made for the trees it does join. So a row costs one hash and about ``2 * sample * trees`` pairs
+    are made whatever the number of rows.
     """
     share = min(1.0, 2.0 * sample / max(n_rows, 1))
     rows = df.where(_complete(features)).select(
         F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in features]
     )
-    joined = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _uniform(seed + 1, t, F.col("_key")) < share
-    )
-    drawn = rows.withColumn("tree", F.explode(joined)).withColumn(
-        "_draw", _uniform(seed + 1, F.col("tree"), F.col("_key"))
-    )
+
+    def gap(j: Column) -> Column:
+        if share >= 1:
+            return F.lit(0).cast("bigint")
+        return F.floor(F.ln(_draw(seed + 1, j, F.col("_key"))) / F.lit(math.log1p(-share)))
+
+    def step(joined: Column, j: Column) -> Column:
+        last = F.element_at(joined, -1)
+        return F.when(last < trees, F.concat(joined, F.array(last + 1 + gap(j)))).otherwise(joined)
+
+    first = rows.withColumn("_first", gap(F.lit(0))).where(F.col("_first") < trees)
+    joined = F.aggregate(F.sequence(F.lit(1), F.lit(trees)), F.array("_first"), step)
+    drawn = first.withColumn("tree", F.explode(F.filter(joined, lambda t: t < trees)).alias("tree")).drop("_first")
+    drawn = drawn.withColumn("tree", F.col("tree").cast("int"))
+    drawn = drawn.withColumn("_draw", _draw(seed + 2, F.col("tree"), F.col("_key")))
     order = Window.partitionBy("tree").orderBy("_draw", "_key")
     return drawn.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample)
 
