@@ -69,30 +69,39 @@ def drop_bitmaps(
     )
 
 
+def _fresh(names: list[str], taken: list[str]) -> list[str]:
+    """Names that no column has, whatever its case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name in used:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def apply_bitmaps(
     docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with the lines of ``bitmaps`` taken out of the text, and with ``n_lines`` and ``n_dropped``.
 
-    A row without a bitmap keeps its text as it is, null included.
+    Counts of an earlier run, columns of these two names, are replaced; all others pass
+    through. A row without a bitmap keeps its text as it is, null included; repeated rows all stay.
     """
-    marks = bitmaps.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "n_dropped", F.col("drops").alias("__drops"))
-    joined = docs.join(marks, (F.col(id_col) == F.col("__id")) & (text_key(text_col) == F.col("__key")), "left")
+    id_, key, n, drops, dense = _fresh(["__id", "__key", "__n", "__drops", "__dense"], docs.columns)
+    marks = bitmaps.select(F.col("id").alias(id_), F.col("key").alias(key), F.col("n_dropped").alias(n), F.col("drops").alias(drops))
+    joined = docs.join(marks, (F.col(id_col) == F.col(id_)) & (text_key(text_col) == F.col(key)), "left")
     lines = split_lines(text_col)
     # Zeros fill the gap before every entry, so the work is that of the lines, however many go.
-    dense = F.expr(
-        "flatten(transform(__drops, (d, i) -> concat("
-        "array_repeat(0L, d.word - if(i = 0, -1, __drops[i - 1].word) - 1), array(d.bits))))"
-    )
-    joined = joined.withColumn("__dense", F.when(F.col("n_dropped") > 0, dense))
-    bits = lambda i: F.coalesce(F.get(F.col("__dense"), F.floor(i / _WORD).cast("int")), F.lit(0).cast("bigint"))
+    joined = joined.withColumn(dense, F.when(F.col(n) > 0, F.expr(
+        f"flatten(transform({drops}, (d, i) -> concat("
+        f"array_repeat(0L, d.word - if(i = 0, -1, {drops}[i - 1].word) - 1), array(d.bits))))"
+    )))
+    bits = lambda i: F.coalesce(F.get(F.col(dense), F.floor(i / _WORD).cast("int")), F.lit(0).cast("bigint"))
     keeps = lambda line, i: F.getbit(bits(i), i % _WORD) == 0
-    return (
-        joined.withColumn("n_lines", F.size(lines).cast("bigint"))
-        .withColumn("n_dropped", F.coalesce("n_dropped", F.lit(0)).cast("bigint"))
-        .withColumn(text_col, F.when(F.col("__dense").isNotNull(), F.array_join(F.filter(lines, keeps), "\n")).otherwise(F.col(text_col)))
-        .drop("__id", "__key", "__drops", "__dense")
-    )
+    text = F.when(F.col(dense).isNotNull(), F.array_join(F.filter(lines, keeps), "\n")).otherwise(F.col(text_col)).alias(text_col)
+    others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    counts = [F.size(lines).cast("bigint").alias("n_lines"), F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n_dropped")]
+    return joined.select(*[text if c == text_col else F.col(f"`{c}`") for c in others], *counts)
 
 
 def dedup_lines(
@@ -103,6 +112,8 @@ def dedup_lines(
     Such a line (stripped, A-Z lower-cased, of ``min_chars`` code points or more) stays in the
     largest id that holds it, there with all its copies, and leaves all other documents. Rows
     with one id count as one document. A row without an id is no document: it counts for no line
-    and keeps all its lines. Columns besides the two named pass through.
+    and keeps all its lines. A null text stays null and has one line, an empty table stays empty.
+    Columns pass through, but for counts of an earlier run, ``n_lines`` and ``n_dropped``, which are
+    replaced; so a result may be deduplicated again.
     """
     return apply_bitmaps(docs, drop_bitmaps(docs, id_col, text_col, min_chars, min_docs), id_col, text_col)

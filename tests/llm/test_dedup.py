@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from forecourt.llm import line_dedup, queries, simhash
 from tests.llm.conftest import rows
 
@@ -132,3 +134,17 @@ def test_bitmaps_over_several_words(spark):
     line = lambda k: f"line number {k} of quite some length, shared by all of them"
     texts = [(i, "\n".join(line(k) if k % 3 else f"own {i} {k}" for k in range(300))) for i in range(1, 7)]
     assert line_result(spark.createDataFrame(texts, "doc_id bigint, text string")) == plain_lines(texts)
+
+
+def test_lines_of_a_result_and_clashing_columns(spark, edge, documents):
+    """Line dedup runs on its own output, which then loses nothing, and on columns named like its own."""
+    once = line_dedup.dedup_lines(documents)
+    twice = line_dedup.dedup_lines(once)
+    assert twice.columns == once.columns and twice.agg(F.sum("n_dropped")).first()[0] == 0
+    assert rows(twice.drop("n_lines", "n_dropped")) == rows(once.drop("n_lines", "n_dropped"))
+    odd = edge.withColumns({c: F.lit(7) for c in ("n_dropped", "n_lines", "__drops", "__id", "__dense", "last", "pos")})
+    found = line_dedup.dedup_lines(odd)
+    assert sorted(found.columns) == sorted(odd.columns)
+    want = line_dedup.dedup_lines(edge).select("doc_id", "text", "n_lines", "n_dropped")
+    assert rows(found.select("doc_id", "text", "n_lines", "n_dropped")) == rows(want)
+    assert found.where("__drops <> 7 or pos <> 7").count() == 0
