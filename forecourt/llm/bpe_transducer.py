@@ -22,8 +22,8 @@ from forecourt.session import shared_folder
 
 #: Words in the lexicon at most, and their longest length in bytes: what bounds the automaton.
 LEXICON, LONGEST = 200_000, 64
-#: Distinct pieces that a worker remembers (about 120 MB), and characters that it encodes together.
-REMEMBERED, AT_ONCE = 600_000, 2_000_000
+#: Distinct pieces that a worker remembers (about 80 MB), and characters that it encodes together.
+REMEMBERED, AT_ONCE = 400_000, 1_000_000
 #: Distinct words that a counting task holds before it hands them on.
 HELD = 300_000
 #: Ends every word in the automaton: a byte that UTF-8 never has.
@@ -243,7 +243,7 @@ class Coder:
     """Encodes texts: pieces from memory, words of new pieces from the lexicon, all other words by merging."""
 
     def __init__(self, tokenizer: str, lexicon: str):
-        self.merger, self.lexicon = Merger(tokenizer), Lexicon(lexicon)
+        self.merger, self.lexicon = merger_of(tokenizer), Lexicon(lexicon)
         self.code = "H" if self.merger.dtype.itemsize == 2 else "I"
         self.known: dict[bytes, bytes] = {}
 
@@ -298,38 +298,52 @@ def coder(tokenizer: str, lexicon: str) -> Coder:
     return _coders[tokenizer, lexicon]
 
 
+_mergers: dict[str, Merger] = {}
+
+
+def merger_of(tokenizer: str) -> Merger:
+    """The worker's merger of a file."""
+    if tokenizer not in _mergers:
+        _mergers[tokenizer] = Merger(tokenizer)
+    return _mergers[tokenizer]
+
+
 def count_words(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
-    """``(word, n)``: how often every word stands in the texts, as UTF-8 bytes. A task holds ``HELD`` words at once."""
+    """``(word, n)``: how often every word stands in the texts, as UTF-8 bytes.
 
-    def run(batches):
-        merger, seen, words = Merger(tokenizer), Counter(), Counter()
+    Pieces are counted first, so that every distinct piece is cut into words once. A task holds about ``HELD`` of either.
+    """
 
-        def table():
-            out = pd.DataFrame({"word": list(words), "n": np.fromiter(words.values(), np.int64, len(words))})
-            words.clear()
-            return out
+    def table(counted: Counter, name: str) -> pd.DataFrame:
+        out = pd.DataFrame({name: list(counted), "n": np.fromiter(counted.values(), np.int64, len(counted))})
+        counted.clear()
+        return out
 
+    def pieces(batches):
+        seen = Counter()
         for batch in batches:
             for text in batch["text"]:
                 seen.update(pieces_of(text))
                 if len(seen) > HELD:
-                    _spell(seen, words, merger)
-                    yield table()
-        _spell(seen, words, merger)
-        yield table()
+                    yield table(seen, "piece")
+        yield table(seen, "piece")
 
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInPandas(run, "word binary, n bigint")
+    def words(batches):
+        merger, seen = merger_of(tokenizer), Counter()
+        for batch in batches:
+            for piece, n in zip(batch["piece"], batch["n"].tolist()):
+                for word in merger.words(piece):
+                    if isinstance(word, bytes) and len(word) <= LONGEST:
+                        seen[word] += n
+            if len(seen) > HELD:
+                yield table(seen, "word")
+        yield table(seen, "word")
+
+    cut = docs.select(F.col(text_col).cast("string").alias("text")).mapInPandas(pieces, "piece binary, n bigint")
+    counted = cut.groupBy("piece").agg(F.sum("n").alias("n")).mapInPandas(words, "word binary, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _spell(pieces: Counter, words: Counter, merger: Merger) -> None:
-    for piece, n in pieces.items():
-        for word in merger.words(piece):
-            if isinstance(word, bytes) and len(word) <= LONGEST:
-                words[word] += n
-    pieces.clear()
-
-
 def frequent_words(counts: DataFrame, limit: int) -> DataFrame:
     """The words above the lowest count with which at most ``limit`` words remain.
 
@@ -356,7 +370,7 @@ def build_lexicon(docs: DataFrame, tokenizer: str, limit: int = LEXICON, text_co
     """
 
     def run(batches):
-        merger = Merger(tokenizer)
+        merger = merger_of(tokenizer)
         for batch in batches:
             ids = [array("I", merger.ids(w)).tobytes() for w in batch["word"]]
             yield pd.DataFrame({"word": batch["word"], "ids": ids})
@@ -382,10 +396,12 @@ def ship(spark: SparkSession, raw: bytes) -> str:
 
 
 def encode_documents(
-    docs: DataFrame, tokenizer: str, limit: int = LEXICON, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, tokenizer: str, limit: int = LEXICON, id_col: str = "doc_id", text_col: str = "text", decode: bool = False,
 ) -> DataFrame:
     """``(id, ids)`` per row: the ids of the whole text as little-endian 32-bit numbers.
 
+    With ``decode`` also ``decoded``, the text that the ids give back, made where they are.
+
     They are those of the tokenizers library without special tokens added, truncation or padding;
     a special token's string in a text is that token. The tokenizer drops white space, lower-cases
     and ends words. A null or empty text has no ids, a row without an id and repeated rows have a
@@ -397,25 +413,22 @@ def encode_documents(
     def run(batches):
         mine = coder(tokenizer, name)
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                rows = batch.iloc[at : at + 1024]
-                ids = [np.frombuffer(raw, mine.merger.dtype).astype("<u4").tobytes() for raw in mine.encode(rows["text"].tolist())]
-                yield pd.DataFrame({"id": plain(rows["id"]), "ids": ids})
+            for at in range(0, len(batch), 256):
+                rows = batch.iloc[at : at + 256]
+                found = [np.frombuffer(raw, mine.merger.dtype) for raw in mine.encode(rows["text"].tolist())]
+                out = pd.DataFrame({"id": plain(rows["id"]), "ids": [ids.astype("<u4").tobytes() for ids in found]})
+                yield out.assign(decoded=list(map(mine.merger.text, found))) if decode else out
 
     chosen = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return chosen.mapInPandas(run, "id string, ids binary").select(F.col("id").cast(id_type).alias(id_col), "ids")
-
-
-_mergers: dict[str, Merger] = {}
+    made = chosen.mapInPandas(run, "id string, ids binary" + ", decoded string" * decode)
+    return made.select(F.col("id").cast(id_type).alias(id_col), *made.columns[1:])
 
 
 def decoded(tokenizer: str, ids: str = "ids") -> F.Column:
-    """The text of a column of ids, as the tokenizers library decodes them, special tokens included."""
+    """The text of a column of stored ids, as the tokenizers library decodes them, special tokens included."""
 
     @F.pandas_udf("string")
     def text(column: pd.Series) -> pd.Series:
-        if tokenizer not in _mergers:
-            _mergers[tokenizer] = Merger(tokenizer)
-        return column.map(lambda raw: _mergers[tokenizer].text(np.frombuffer(raw, "<u4")))
+        return column.map(lambda raw: merger_of(tokenizer).text(np.frombuffer(raw, "<u4")))
 
     return text(ids)

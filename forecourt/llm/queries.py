@@ -105,11 +105,10 @@ def whitened_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def transducer_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe_transducer.encode_documents(read(spark, folder, "documents"), token_file(WORD_BPE))
-    text = bpe_transducer.decoded(token_file(WORD_BPE))
+    encoded = bpe_transducer.encode_documents(read(spark, folder, "documents"), token_file(WORD_BPE), decode=True)
     return encoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(text.cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -149,6 +149,9 @@ def test_round_trip_of_edge_rows(edge, nothing, tokenizer, limit, monkeypatch):
     got = sorted(((r["doc_id"] or -1, r["n"], r["h"]) for r in found.select("doc_id", (F.octet_length("ids") / 4).cast("int").alias("n"), F.sha2("ids", 256).alias("h")).collect()))
     assert got == sorted((r["doc_id"] or -1, *digests(tokenizer, r["text"])[:2]) for r in odd.collect())
     assert bpe.encode_documents(nothing, WORD, limit).collect() == []
+    back = found.select("doc_id", bpe.decoded(WORD).alias("t"))
+    assert sorted((r["doc_id"] or -1, hashlib.sha256(r["t"].encode()).hexdigest()) for r in back.collect()) == sorted(
+        (r["doc_id"] or -1, digests(tokenizer, r["text"])[2]) for r in odd.collect())
 
 
 def test_frequent_words_keep_to_the_bound(spark):
