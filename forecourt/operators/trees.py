@@ -343,7 +343,7 @@ def grow(
     while any(top.open for top in tops.values()):
         last = stored(_level(matrix, signal, tops, todo, last, n_stats, layout, growth, seed, allowed), "splits")
         todo = _decide(last, tops, n_stats, growth, local_rows)
-    rows = _rows_of_closed(matrix, signal, tops, spread)
+    rows = _rows_of_closed(matrix, signal, tops, spread, growth.classes)
     features = len(layout.edges)
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
@@ -457,10 +457,10 @@ def _decide(splits: DataFrame, tops: dict[int, Top], n_stats: int, growth: Growt
     return todo
 
 
-def _rows_of_closed(matrix: DataFrame, signal: Signal, tops: dict[int, Top], spread: Sequence[int]) -> DataFrame:
+def _rows_of_closed(matrix: DataFrame, signal: Signal, tops: dict[int, Top], spread: Sequence[int], classes: int) -> DataFrame:
     """The rows of all closed nodes, cut into one piece per block and node."""
     whole = all(len(top.feature) == 1 and top.closed for top in tops.values())
-    trees = {} if whole else {k: top.tree(1) for k, top in tops.items()}
+    trees = {} if whole else {k: top.tree(classes) for k, top in tops.items()}
     closed = {k: np.array(sorted(top.closed)) for k, top in tops.items()}
     def run(batches):
         for batch in batches:

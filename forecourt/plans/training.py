@@ -3,11 +3,11 @@
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from forecourt import schema as S
 from forecourt.operators import anomaly, catalog, classify, distribution, grouping, regress, segment
+from forecourt.session import stored
 from forecourt.sources import sinks
 
 
@@ -35,6 +35,7 @@ class Trained:
     profiles: DataFrame
     forest: anomaly.IsolationForest
     anomalies: DataFrame
+    placed: DataFrame
     metadata: dict[str, DataFrame] = field(default_factory=dict)
 
 
@@ -42,8 +43,8 @@ def train(engineered: DataFrame, regression_sizes: Mapping[str, Mapping[str, int
           classifier_sizes: Mapping[str, Mapping[str, int]] = classify.SIZES,
           regressors: Sequence[str] | None = None, cv_folds: int = 5,
           ks: Iterable[int] = range(2, 11), n_init: int = 10, seed: int = 42) -> Trained:
-    """Every model of the project on one engineered table, which is kept for the duration."""
-    rows = engineered.persist(StorageLevel.MEMORY_AND_DISK)
+    """Every model of the project on one engineered table, which is stored for the duration."""
+    rows = stored(engineered, "engineered")
     spark = rows.sparkSession
     prices = regress.train_regression(rows, regressors, regression_sizes, cv_folds, seed)
     bodies = classify.train_classification(rows, sizes=classifier_sizes, seed=seed)
@@ -65,16 +66,22 @@ def train(engineered: DataFrame, regression_sizes: Mapping[str, Mapping[str, int
     extra += [("anomaly_detection", "Isolation Forest", name, float(v)) for name, v in found.items()]
     extra.append(("anomaly_detection", "Isolation Forest", "contamination", anomaly.CONTAMINATION))
     metrics = prices.metrics.unionByName(bodies.metrics).unionByName(spark.createDataFrame(extra, S.METRICS))
-    rows.unpersist()
-    anomalies = anomaly.anomaly_table(anomaly.score_isolation_forest(engineered, forest))
+    anomalies = anomaly.anomaly_table(anomaly.score_isolation_forest(rows, forest))
+    placed = projection.transform(
+        segment.assign_cluster(rows, list(segments.scaler.means), segments.centers, segments.scaler)
+    ).select("listing_id", "cluster", "pc1", "pc2")
     return Trained(
-        metrics, prices, bodies, segments, projection, profiles, forest, anomalies,
-        dataset_metadata(engineered),
+        metrics, prices, bodies, segments, projection, profiles, forest, anomalies, placed,
+        dataset_metadata(rows),
     )
 
 
 def save(trained: Trained, folder: str) -> None:
-    """Models, node table, result tables, metrics and metadata under one folder."""
+    """Models, node table, result tables, metrics and metadata under one folder.
+
+    Among them every classifier's confusion matrix and report, every listing's cluster and place in
+    the plane, and, as ``metadata/chosen``, the best models' names and the number of clusters.
+    """
     for name, model in trained.prices.models.items():
         sinks.save_model(model, f"{folder}/price_{_file(name)}")
     for name, model in trained.body_types.models.items():
@@ -86,7 +93,13 @@ def save(trained: Trained, folder: str) -> None:
     sinks.write_metrics(trained.metrics, f"{folder}/metrics")
     for name, table in trained.prices.importances.items():
         table.write.mode("overwrite").parquet(f"{folder}/feature_importance_{_file(name)}")
-    for name, table in {**trained.metadata, "profiles": trained.profiles}.items():
+    for name in trained.body_types.models:
+        trained.body_types.confusion[name].write.mode("overwrite").parquet(f"{folder}/confusion_{_file(name)}")
+        trained.body_types.reports[name].write.mode("overwrite").parquet(f"{folder}/report_{_file(name)}")
+    trained.placed.write.mode("overwrite").parquet(f"{folder}/cluster_assignments")
+    choices = [("regression", trained.prices.best), ("classification", trained.body_types.best), ("clustering", str(trained.segments.k))]
+    chosen = trained.metrics.sparkSession.createDataFrame(choices, "task string, chosen string")
+    for name, table in {**trained.metadata, "profiles": trained.profiles, "chosen": chosen}.items():
         table.write.mode("overwrite").parquet(f"{folder}/metadata/{name}")
 
 

@@ -1,14 +1,16 @@
 import os
 import subprocess
 import sys
+from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from forecourt.operators import anomaly, classify, evaluate, prep, regress, segment
+from forecourt.operators import anomaly, classify, ensembles, evaluate, linear, lloyd, prep, regress, segment, trees
 from forecourt.sources import sinks
 
 SMALL = {
@@ -213,3 +215,125 @@ def test_workers_get_the_shipped_package(tmp_path):
         [sys.executable, "-c", _ELSEWHERE.format(root=root)], cwd=tmp_path, env=bare, capture_output=True, text=True, timeout=300
     )
     assert "rows 300" in done.stdout, [x for x in done.stderr.splitlines() if "Error" in x][:8]
+
+
+# Trees
+
+
+def _tree_rows(spark, n=900, seed=5):
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.integers(0, 5, n), rng.integers(0, 9, n), rng.normal(size=n)])
+    y = np.where(x[:, 0] > 2, 3.0, 0.0) + np.where(x[:, 1] > 4, x[:, 2], -x[:, 2]) + rng.normal(0, 0.1, n)
+    rows = [(str(i), *map(float, r), float(v), float(k)) for i, (r, v, k) in enumerate(zip(x, y, rng.integers(0, 3, n)))]
+    df = spark.createDataFrame(rows, "listing_id string, a double, b double, c double, y double, label double").repartition(5)
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosting", "second order", "classes", "class forest"])
+def test_trees_split_by_histograms_equal_trees_grown_in_one_group(spark, kind):
+    """Distributed levels, subtraction of siblings and grafted subtrees give what one group gives."""
+    spec = {
+        "forest": regress.random_forest("y", numTrees=3, maxDepth=7),
+        "boosting": regress.gradient_boosting("y", maxIter=3, maxDepth=4),
+        "second order": regress.subsampled_boosting("y", maxIter=3, maxDepth=5),
+        "classes": replace(classify.estimator(classify.BOOSTING, {"maxIter": 2, "maxDepth": 3}), classes=3),
+        "class forest": replace(classify.estimator(classify.FOREST, {"numTrees": 3, "maxDepth": 5}), classes=3, growth=trees.Growth(5, min_split=5)),
+    }[kind]
+    rows = _tree_rows(spark)
+    found = []
+    for local in (1 << 17, 100):
+        scored = replace(spec, local_rows=local).fit(rows).transform(rows)
+        column = "probability" if spec.classes else "prediction"
+        found.append({r["listing_id"]: r[column] for r in scored.select("listing_id", column).collect()})
+    assert found[0].keys() == found[1].keys()
+    for i, p in found[0].items():
+        assert found[1][i] == pytest.approx(p, abs=1e-9)
+        if spec.classes:
+            assert sum(p) == pytest.approx(1) and min(p) >= 0
+
+
+def test_folds_learn_from_other_rows_only(spark):
+    """A fold's R² is that of a model fitted on the other rows, with the same bins and draws."""
+    rows = _tree_rows(spark)
+    spec = regress.gradient_boosting("y", maxIter=4, maxDepth=3)
+    fold = prep.fold(3)
+    marked = rows.withColumn("f", fold)
+    scores = ensembles.fit_ensemble(marked, spec, F.xxhash64("listing_id"), None, F.col("f"), 3)[1]
+    assert scores["variant"].tolist() == [-1, 0, 1, 2]
+    layout = trees.fit_layout(marked, 3)
+    for v, r2 in zip(scores["variant"], scores["r2"]):
+        learned, judged = (marked, marked) if v < 0 else (marked.where(F.col("f") != v), marked.where(F.col("f") == v))
+        matrix = trees.build_matrix(learned, layout, "y", F.xxhash64("listing_id"), F.lit(-1), F.lit(True))
+        own, base, _ = ensembles._boosted(matrix, layout, spec, [-1])
+        scored = ensembles.TreeModel(own, layout, spec, base).transform(judged)
+        assert evaluate.r2(scored, "y", "prediction").first()[0] == pytest.approx(r2, abs=1e-9)
+
+
+def test_tree_models_survive_storage_and_chunks(spark, tmp_path, monkeypatch):
+    rows = _tree_rows(spark)
+    model = regress.random_forest("y", numTrees=6, maxDepth=5).fit(rows)
+    want = {r["listing_id"]: r["prediction"] for r in model.transform(rows).collect()}
+    assert evaluate.r2(model.transform(rows), "y", "prediction").first()[0] > 0.8
+    sinks.save_model(PipelineModel(stages=[model]), str(tmp_path / "m"))
+    monkeypatch.setattr(ensembles.tree_chunks, "__defaults__", (2000,))
+    again = sinks.load_model(str(tmp_path / "m"))
+    got = {r["listing_id"]: r["prediction"] for r in again.transform(rows).collect()}
+    assert got == pytest.approx(want)
+    assert model.importances().agg(F.sum("importance")).first()[0] == pytest.approx(1)
+
+
+def test_repeated_draws_follow_the_law():
+    keys = np.random.default_rng(1).integers(0, 2**63, 200_000).astype(np.uint64)
+    drawn = np.searchsorted(ensembles._DRAWS, trees.mixed(keys, 7), "right")
+    assert np.bincount(drawn)[:4] / len(keys) == pytest.approx(np.exp(-1) / np.array([1, 1, 2, 6]), abs=0.005)
+
+
+# Linear models and K-Means
+
+
+def test_linear_models_of_folds_equal_fits_without_the_fold(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 4)) * [1, 5, 0.2, 3] + [0, 40, 1, -7]
+    x[:, 3] = 2 * x[:, 1]  # dependent
+    y = x @ [1.0, -0.3, 4.0, 0.1] + rng.normal(0, 0.5, 400)
+    fold = rng.integers(0, 3, 400)
+    df = spark.createDataFrame([(*map(float, r), float(v), int(f)) for r, v, f in zip(x, y, fold)], "a double, b double, c double, d double, y double, f int")
+    df = VectorAssembler(inputCols=list("abcd"), outputCol="features").transform(df)
+    moments = linear.fold_moments(df, "y", F.col("f"))
+    for spec in (linear.Linear("ols", "y"), linear.Linear("ridge", "y", 10.0, 4), linear.Linear("lasso", "y", 0.3, 4)):
+        want = []
+        for k in range(3):
+            on = fold != k
+            scale = x[on].std(0) if spec.scaled else np.ones(4)
+            z, t = (x[on] - x[on].mean(0)) / scale, y[on] - y[on].mean()
+            if spec.kind == "ols":
+                w = np.linalg.lstsq(z, t, rcond=1e-8)[0]
+            elif spec.kind == "ridge":
+                w = np.linalg.solve(z.T @ z + 10 * np.eye(4), z.T @ t)
+            else:
+                w = np.zeros(4)
+                for _ in range(3000):
+                    for j in range(4):
+                        pull = z[:, j] @ (t - z @ w + z[:, j] * w[j]) / len(t)
+                        w[j] = np.sign(pull) * max(abs(pull) - 0.3, 0) / (z[:, j] @ z[:, j] / len(t))
+            guess = (x[~on] - x[on].mean(0)) / scale @ w + y[on].mean()
+            want.append(1 - ((y[~on] - guess) ** 2).sum() / ((y[~on] - y[~on].mean()) ** 2).sum())
+        assert linear.fold_scores(moments, spec) == pytest.approx(want, abs=1e-6)
+
+
+def test_lloyd_runs_side_by_side_as_alone(spark):
+    rng = np.random.default_rng(2)
+    points = np.vstack([rng.normal(c, 1, (150, 2)) for c in (0, 6, 14)])
+    df = spark.createDataFrame([(p.tolist(),) for p in points], "x array<double>").repartition(4)
+    starts = {(k, i): lloyd.seeds(points, k, np.random.default_rng([k, i])) for k in (1, 2, 3, 4) for i in range(3)}
+    together = lloyd.lloyd(df, starts)
+    sums = lloyd.cluster_sums(df, together)
+    for run, start in starts.items():
+        alone = lloyd.lloyd(df, {run: start})[run]
+        assert alone == pytest.approx(together[run])
+        label = ((points[:, None] - alone) ** 2).sum(-1).argmin(1)
+        assert sums[run][:, 0].tolist() == np.bincount(label, minlength=len(start)).tolist()
+        assert sums[run][:, -1].sum() == pytest.approx(((points - alone[label]) ** 2).sum())
+    quality = lloyd.silhouettes(df, together, sums)
+    placed = spark.createDataFrame([(*p.tolist(), int(((together[3, 0] - p) ** 2).sum(1).argmin())) for p in points], "a double, b double, cluster int")
+    assert quality[3, 0] == pytest.approx(segment.silhouette(placed, ["a", "b"]).first()[0])

@@ -102,6 +102,16 @@ def test_assess_keeps_every_candidate(spark, clean, engineered, price_model):
 def test_training_plan(spark, engineered, tmp_path):
     trained = training.train(engineered, SMALL, SMALL, ["Linear Regression", "Random Forest"], 0, (2, 3), 1)
     training.save(trained, str(tmp_path / "models"))
+    again = lambda name: spark.read.parquet(str(tmp_path / "models" / name))
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    for name in trained.body_types.models:
+        file = name.lower().replace(" ", "_")
+        assert rows(again(f"confusion_{file}")) == rows(trained.body_types.confusion[name])
+        assert rows(again(f"report_{file}")) == rows(trained.body_types.reports[name])
+        assert again(f"confusion_{file}").agg({"count": "sum"}).first()[0] == trained.body_types.predictions[name].count()
+    assert rows(again("cluster_assignments")) == rows(trained.placed) and trained.placed.count() == engineered.count()
+    assert dict(again("metadata/chosen").collect()) == {
+        "regression": trained.prices.best, "classification": trained.body_types.best, "clustering": str(trained.segments.k)}
     tasks = {r[0] for r in sinks.read_metrics(spark, str(tmp_path / "models/metrics")).select("task").distinct().collect()}
     assert tasks == {"regression", "classification", "clustering", "anomaly_detection"}
     assert sinks.read_anomalies(spark, str(tmp_path / "models/anomaly_results")).count() == engineered.count()
