@@ -14,6 +14,7 @@ from forecourt.operators.lookup import lookup_join
 from forecourt.operators.prep import Scaler
 from forecourt.operators.quantiles import median
 from forecourt.sources.tables import ECONOMY_MAKES, LUXURY_MAKES
+from forecourt.streaming.candidates import write_rated
 
 _BOX = ("q1", "median", "q3", "whisker_low", "whisker_high", "mean")
 
@@ -47,6 +48,17 @@ def _by_body(c):
         "listing_id", "n_comparables", "n_outliers", *_BOX)
 
 
+def _streamed(c):
+    """The candidates as a stream of files, joined to the index and written by the stream."""
+    places = [B.scratch(c.sparkSession) for _ in range(3)]
+    wanted = candidates(c).select("listing_id", "make", "body_type", "year")
+    wanted.write.parquet(places[0])
+    stream = c.sparkSession.readStream.schema(wanted.schema).parquet(places[0])
+    found = X.comparables_by_body(stream, c).select("listing_id", "n_comparables", "n_outliers", *_BOX)
+    write_rated(found, places[1], places[2], once=True).awaitTermination()
+    return c.sparkSession.read.parquet(places[1]).drop("rated_at")
+
+
 def _rated(c):
     guesses = lookup_join(candidates(c), median(c, "price", "make", "predicted_price"), "make")
     return X.rate_deal(guesses).select("listing_id", "price_diff", "price_diff_pct", "deal_rating")
@@ -125,6 +137,8 @@ QUERIES = {
     "predict_price": engineered(_predicted),
     "comparables_stats": query(_comparables),
     "comparables_by_body": query(_by_body),
+    "comparables_index": query(X.comparables_index),
+    "comparables_on_stream": query(_streamed),
     "rate_deal": query(_rated),
     "predict_price_constant": engineered(lambda e: L.predict_price(e, _constant_model(e)).select("listing_id", "predicted_price")),
     "rate_deal_missing": query(_rated_in_part),
@@ -202,6 +216,10 @@ SELECT listing_id, round(g, 6) AS predicted_price, CAST(cluster AS INT) AS clust
         "condition_score, feature_count, is_luxury, has_sunroof, has_bluetooth FROM eng"),
     "comparables_stats": B.over_clean(_NEAR),
     "comparables_by_body": B.over_clean(_NEAR_BODY),
+    "comparables_on_stream": B.over_clean(_NEAR_BODY),
+    "comparables_index": B.over_clean(""", w AS (SELECT DISTINCT make, CAST(year + d AS INT) AS year FROM clean, range(-2, 3) t(d))
+SELECT w.make, w.year, count(*) AS n_comparables, round(min(price), 6) AS min_price, round(quantile_cont(price, 0.5), 6) AS median_price,
+ round(max(price), 6) AS max_price FROM w JOIN clean c ON c.make = w.make AND c.year BETWEEN w.year - 2 AND w.year + 2 GROUP BY ALL"""),
     "rate_deal": B.over_clean(""", g AS (SELECT make, quantile_cont(price, 0.5) AS p FROM clean GROUP BY make),
 t AS (SELECT listing_id, price - p AS diff, CASE WHEN p > 0 THEN 100 * (price - p) / p ELSE 0 END AS pct FROM clean JOIN g USING (make))
 SELECT listing_id, round(diff, 6) AS price_diff, round(pct, 6) AS price_diff_pct, CASE WHEN pct < -15 THEN 'Excellent Deal'

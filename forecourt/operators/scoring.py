@@ -4,7 +4,7 @@ Reference tables are reduced to one row per key before they meet the candidates,
 candidate is ever paired with the listings behind its statistics.
 """
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame
@@ -14,12 +14,12 @@ from forecourt import vocabulary as V
 from forecourt.functions.numeric import known
 from forecourt.operators.anomaly import IsolationForest, score_isolation_forest
 from forecourt.operators.catalog import valid_values_top_k
-from forecourt.operators.distribution import box_stats
 from forecourt.operators.features import engineer_listings
-from forecourt.operators.lookup import bounded, lookup_join
-from forecourt.operators.quantiles import median
+from forecourt.operators.lookup import lookup_join
 from forecourt.operators.regress import predict_price
 from forecourt.operators.segment import Projection, SegmentModel, assign_cluster
+from forecourt.operators.sliding import cell_counts, sliding_boxes, sliding_quantiles, sliding_totals
+from forecourt.session import discard, stored
 
 BODY_RULE, MAKE_RULE, LUXURY_RULE, ECONOMY_RULE = "body_type", "make", "luxury", "economy"
 
@@ -29,36 +29,56 @@ def candidate_features(candidates: DataFrame, luxury_makes: Iterable[str] = V.LU
     return engineer_listings(candidates, luxury_makes=luxury_makes)
 
 
-def _around(reference: DataFrame, keys: Sequence[str], years: int, wanted: DataFrame) -> DataFrame:
-    """Prices under every model year they are comparable to, for the wanted (keys, year) only."""
-    centers = F.sequence(F.col("year") - years, F.col("year") + years)
-    spread = reference.where(F.col("year").isNotNull() & F.col("price").isNotNull()).select(
-        *keys, "price", F.explode(centers).alias("year")
+def comparables_index(reference: DataFrame, years: int = 2) -> DataFrame:
+    """Count, least, median and largest price of every (make, year) with listings of the make within ``years``.
+
+    A table in the shared folder, one row per key: batches and streams of candidates join it alike.
+    """
+    by = ["make"]
+    counts = stored(cell_counts(reference, "price", by, "year"), "comparables-cells")
+    totals = sliding_totals(counts, by, "year", years).select(
+        *by, "year", F.col("count").alias("n_comparables"), F.col("min").alias("min_price"), F.col("max").alias("max_price")
     )
-    return spread.join(bounded(wanted)[0], [*keys, "year"], "left_semi")
+    medians = sliding_quantiles(reference, "price", {"median_price": 0.5}, by, "year", years, counts)
+    index = stored(totals.join(medians, [*by, "year"]), "comparables")
+    discard(counts)
+    return index
 
 
-def comparables_stats(candidates: DataFrame, reference: DataFrame, years: int = 2) -> DataFrame:
-    """Adds count, minimum, median and maximum price of the same make within ``years``."""
-    keys = ["make", "year"]
-    near = _around(reference, ["make"], years, candidates.select(*keys).distinct())
-    extremes = near.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_comparables"), F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-    )
-    stats = extremes.join(median(near, "price", keys, "median_price"), keys)
-    return lookup_join(candidates, stats, keys).withColumn(
+def comparables_box_index(reference: DataFrame, years: int = 3, more_than: int = 2) -> DataFrame:
+    """Box statistics of every (make, body type, year) with more than ``more_than`` such listings within ``years``.
+
+    A table in the shared folder, as that of :func:`comparables_index`.
+    """
+    by = ["make", "body_type"]
+    counts = stored(cell_counts(reference, "price", by, "year"), "comparables-cells")
+    boxes = sliding_boxes(reference, "price", by, "year", years, counts).where(F.col("count") > more_than)
+    index = stored(boxes.withColumnRenamed("count", "n_comparables"), "comparables-boxes")
+    discard(counts)
+    return index
+
+
+def comparables_stats(candidates: DataFrame, reference: DataFrame, years: int = 2,
+                      index: DataFrame | None = None) -> DataFrame:
+    """Adds count, minimum, median and maximum price of the same make within ``years``.
+
+    ``candidates`` may be a stream. An ``index`` made before takes the place of ``reference``.
+    A candidate without make or year has no comparables.
+    """
+    index = comparables_index(reference, years) if index is None else index
+    return lookup_join(candidates, index, ["make", "year"]).withColumn(
         "n_comparables", F.coalesce("n_comparables", F.lit(0)).cast("bigint")
     )
 
 
 def comparables_by_body(candidates: DataFrame, reference: DataFrame, years: int = 3,
-                        more_than: int = 2) -> DataFrame:
-    """Box statistics of the same make and body type within ``years``, where there are enough."""
-    keys = ["make", "body_type", "year"]
-    near = _around(reference, keys[:2], years, candidates.select(*keys).distinct())
-    boxes = box_stats(near, "price", keys).where(F.col("count") > more_than)
-    return lookup_join(candidates, boxes.withColumnRenamed("count", "n_comparables"), keys)
+                        more_than: int = 2, index: DataFrame | None = None) -> DataFrame:
+    """Box statistics of the same make and body type within ``years``, where there are enough.
+
+    ``candidates`` may be a stream. An ``index`` made before takes the place of ``reference``.
+    """
+    index = comparables_box_index(reference, years, more_than) if index is None else index
+    return lookup_join(candidates, index, ["make", "body_type", "year"])
 
 
 def rate_deal(df: DataFrame, listed: str = "listed_price", predicted: str = "predicted_price") -> DataFrame:

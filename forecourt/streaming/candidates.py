@@ -18,14 +18,18 @@ from forecourt.operators.regress import predict_price
 def rate_stream(candidates: DataFrame, reference: DataFrame, model: Transformer,
                 forest: IsolationForest | None = None, luxury_makes=V.LUXURY_MAKES,
                 economy_makes=V.ECONOMY_MAKES) -> DataFrame:
-    """Streaming candidates with estimate, rating, rules and, given a forest, the anomaly flag."""
+    """Streaming candidates with estimate, rating, rules, comparables and, given a forest, the anomaly flag.
+
+    The comparables are those of ``reference`` when this is called.
+    """
     features = scoring.candidate_features(candidates, luxury_makes)
     rated = scoring.rate_deal(predict_price(features, model))
     if forest is not None:
         rated = scoring.flag_deal_anomaly(rated, forest)
-    return scoring.validate_configuration(
+    checked = scoring.validate_configuration(
         rated, reference, luxury_makes=luxury_makes, economy_makes=economy_makes
     )
+    return scoring.comparables_stats(checked, reference)
 
 
 def write_rated(rated: DataFrame, path: str, checkpoint_path: str, once: bool = False) -> StreamingQuery:

@@ -86,7 +86,7 @@ def test_stream_gives_what_the_batch_gives(spark, clean, price_model, tmp_path):
     rated = streaming.rate_stream(stream, clean, price_model, None, LUXURY_MAKES, ECONOMY_MAKES)
     query = streaming.write_rated(rated, str(tmp_path / "out"), str(tmp_path / "chk"), once=True)
     query.awaitTermination(120)
-    columns = ["listing_id", "deal_rating", "is_plausible"]
+    columns = ["listing_id", "deal_rating", "is_plausible", "n_comparables", "median_price"]
     got = spark.read.parquet(str(tmp_path / "out")).select(*columns)
     want = streaming.rate_stream(table, clean, price_model, None, LUXURY_MAKES, ECONOMY_MAKES).select(*columns)
     assert got.count() == clean.count() and got.exceptAll(want).isEmpty()
