@@ -36,6 +36,8 @@ SMALL = {
     K.BOOSTING: {"maxIter": 3, "maxDepth": 3},
 }
 CATEGORICAL = list(V.CATEGORICAL_FEATURES)
+#: A column of many values and one where every row has its own.
+WIDE = ["model", "listing_id"]
 SEGMENT = list(V.SEGMENT_FEATURES)
 CENTERS = [[50000.0, 60000.0], [60000.0, 240000.0], [400000.0, 150000.0]]
 #: Features whose products with the predictions are compared.
@@ -165,6 +167,11 @@ def _silhouette(e):
     return U.silhouette(rows, cols)
 
 
+def _euclidean(e):
+    rows, cols = _labelled(e)
+    return U.silhouette_euclidean(rows, cols)
+
+
 def _lloyd_steps(e):
     """Two runs of two steps side by side; every center is the mean of the rows that were nearest to it."""
     points = e.select(F.array(F.col("price"), F.col("mileage").cast("double")).alias("x"))
@@ -260,6 +267,7 @@ def _scored(e):
 QUERIES = {
     "standardize": eng(lambda e: prep.standardize(e, SEGMENT).select("listing_id", *[f"{c}_z" for c in SEGMENT])),
     "ordinal_encode": eng(lambda e: prep.ordinal_encode(e, CATEGORICAL).select("listing_id", *[f"{c}_code" for c in CATEGORICAL])),
+    "ordinal_encode_wide": eng(lambda e: prep.ordinal_encode(e, WIDE).select("listing_id", *[f"{c}_code" for c in WIDE])),
     "fit_preprocessor": eng(_preprocessed),
     "split": eng(lambda e: _parts(*prep.split(e))),
     "stratified_split": eng(lambda e: _parts(*prep.stratified_split(e, "body_type"))),
@@ -297,6 +305,7 @@ QUERIES = {
     "kmeans_sweep": eng(lambda e: U.kmeans_sweep(e).sweep),
     "kmeans_steps": eng(_lloyd_steps, 3),
     "silhouette": eng(_silhouette),
+    "silhouette_euclidean": eng(_euclidean),
     "assign_cluster": eng(lambda e: U.assign_cluster(e, ["price", "mileage"], CENTERS).select("listing_id", "cluster")),
     "assign_cluster_missing": eng(lambda e: U.assign_cluster(
         partly_missing(e, "mileage"), ["price", "mileage"], CENTERS).select("listing_id", "cluster")),
@@ -360,6 +369,18 @@ SELECT round(avg(CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE
    (SELECT *, row_number() OVER (PARTITION BY own ORDER BY z0, z1, z2, z3, z4) AS r FROM d WHERE own = other) e0
    JOIN (SELECT *, row_number() OVER (PARTITION BY own ORDER BY z0, z1, z2, z3, z4) AS r FROM d WHERE own != other) e1
    ON e0.own = e1.own AND e0.r = e1.r) s)"""
+_APART = "sqrt(" + " + ".join(f"(z.z{i} - s.z{i}) ** 2" for i in range(5)) + ")"
+_EUCLIDEAN = _LABELLED.replace("SELECT is_luxury", "SELECT listing_id, is_luxury") + f""",
+n AS (SELECT cluster, count(*) AS n FROM z GROUP BY cluster),
+s AS (SELECT z.*, n FROM z JOIN n USING (cluster)
+ WHERE CAST(concat('0x', substr(md5(concat('42|', listing_id)), 1, 8)) AS BIGINT) / 4294967296.0 < CAST({U.SILHOUETTE_ROWS} AS DOUBLE) / n),
+d AS (SELECT z.listing_id, z.cluster = s.cluster AS own, s.cluster, avg({_APART}) AS dist, var_samp({_APART}) AS v, count(*) AS m,
+ any_value(s.n) - CAST(z.cluster = s.cluster AS INT) AS n FROM z JOIN s ON z.listing_id <> s.listing_id GROUP BY z.listing_id, z.cluster, s.cluster),
+e AS (SELECT *, CASE WHEN m < n THEN sqrt(v / m * (1 - CAST(m AS DOUBLE) / n)) ELSE 0 END AS se FROM d),
+t AS (SELECT listing_id, min(dist) FILTER (WHERE own) AS a, min(dist) FILTER (WHERE NOT own) AS b,
+ min(se) FILTER (WHERE own) AS sa, arg_min(se, dist) FILTER (WHERE NOT own) AS sb FROM e GROUP BY listing_id)
+SELECT round(avg(CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette,
+ round(avg(CASE WHEN greatest(a, b) > 0 THEN 2 * (sa + sb) / greatest(a, b) ELSE 0 END), 6) AS error, count(*) AS scored FROM t"""
 _DIST = ", ".join(
     f"(price - {p}) ** 2 + (mileage - {m}) ** 2 AS d{i}" for i, (p, m) in enumerate(CENTERS))
 
@@ -481,6 +502,7 @@ ORACLES = {
     "class_boosting_step": B.over_engineered(_class_sql()),
     "standardize": B.over_engineered("SELECT listing_id, " + ", ".join(
         f"round({_z(c)}, 6) AS {c}_z" for c in SEGMENT) + " FROM eng"),
+    "ordinal_encode_wide": B.over_engineered("SELECT listing_id, " + ", ".join(map(_code, WIDE)) + " FROM eng"),
     "ordinal_encode": B.over_engineered("SELECT listing_id, " + ", ".join(map(_code, CATEGORICAL)) + " FROM eng"),
     "fit_preprocessor": B.over_engineered(_SPLIT + _TRAIN + ", codes AS (SELECT DISTINCT make, dense_rank() OVER (ORDER BY make) - 1 AS m FROM train), "
         "colors AS (SELECT DISTINCT color, dense_rank() OVER (ORDER BY color) - 1 AS k FROM train) SELECT listing_id, "
@@ -533,6 +555,7 @@ ORACLES = {
     "kmeans_steps": B.over_engineered(_LLOYD),
     "isolation_samples": B.over_engineered(_SAMPLED).replace("WITH", "WITH RECURSIVE", 1),
     "silhouette": B.over_engineered(_SILHOUETTE),
+    "silhouette_euclidean": B.over_engineered(_EUCLIDEAN),
     "assign_cluster": B.over_engineered(f", t AS (SELECT listing_id, {_DIST} FROM eng) SELECT listing_id, "
         "CAST(CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS INT) AS cluster FROM t"),
     "pca_project_pair": B.over_engineered(f"SELECT listing_id, round(abs({_z('cylinders')} + {_z('price')}) / sqrt(2), 6) AS pc1, "

@@ -5,12 +5,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt import vocabulary as V
+from forecourt.functions.numeric import long_form
 from forecourt.operators.lookup import lookup_join
 from forecourt.operators.quantiles import quantiles
+from forecourt.session import stored
 
 
 @dataclass(frozen=True)
@@ -57,10 +59,37 @@ def _codes(model) -> list[str]:
     ]
 
 
+def category_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, code): the rank of every distinct value of each column, from 0, in binary order of the text.
+
+    Distinct values are range-partitioned and numbered within their partition, from the number of
+    values that the partitions before hold. No list of values is gathered anywhere.
+    """
+    distinct = long_form(df, list(cols)).where(F.col("value").isNotNull()).distinct()
+    parts = distinct.repartitionByRange("column", "value").withColumn("_part", F.spark_partition_id())
+    values = stored(parts, "categories")
+    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        values.groupBy("column", "_part").agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    )
+    place = F.row_number().over(Window.partitionBy("column", "_part").orderBy("value"))
+    code = (F.col("_offset") + place - 1).cast("double").alias("code")
+    return lookup_join(values, offsets, ["column", "_part"], "inner").select("column", "value", code)
+
+
 def ordinal_encode(df: DataFrame, cols: Sequence[str], fitted_on: DataFrame | None = None) -> DataFrame:
-    """Adds ``<col>_code``: the rank of the category among those of ``fitted_on``."""
-    model = _indexer(cols).fit(df if fitted_on is None else fitted_on)
-    return model.transform(df).selectExpr(*[f"`{c}`" for c in df.columns], *_codes(model))
+    """Adds ``<col>_code``: the rank of the category among those of ``fitted_on``; -1 if missing or unseen there.
+
+    Codes are joined back, by broadcast only where they are few.
+    """
+    codes = stored(category_codes(df if fitted_on is None else fitted_on, cols), "codes")
+    out = df
+    for c in cols:
+        mine = codes.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        joined = lookup_join(out.withColumn("_value", F.col(c).cast("string")), mine, "_value")
+        out = joined.withColumn(f"{c}_code", F.coalesce("_code", F.lit(-1.0))).drop("_value", "_code")
+    return out
 
 
 def fit_preprocessor(train: DataFrame, task: str = "regression") -> PipelineModel:

@@ -337,3 +337,31 @@ def test_lloyd_runs_side_by_side_as_alone(spark):
     quality = lloyd.silhouettes(df, together, sums)
     placed = spark.createDataFrame([(*p.tolist(), int(((together[3, 0] - p) ** 2).sum(1).argmin())) for p in points], "a double, b double, cluster int")
     assert quality[3, 0] == pytest.approx(segment.silhouette(placed, ["a", "b"]).first()[0])
+
+
+def test_codes_over_many_partitions(spark):
+    words = [f"{c}{i}" for i in range(300) for c in "zaÄé"] + ["", "A", "a"] * 5 + [None]
+    df = spark.createDataFrame([(w, len(w or "") % 3) for w in words], "c string, n int").repartition(7)
+    found = prep.ordinal_encode(df, ["c", "n"]).collect()
+    order = sorted({w for w in words if w is not None}, key=lambda w: w.encode())
+    assert len(found) == len(words)
+    assert all(r.c_code == (-1.0 if r.c is None else order.index(r.c)) and r.n_code == r.n for r in found)
+
+
+def test_euclidean_silhouette_by_pairs(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(m, 1.0, (n, 2)) for m, n in ((0, 90), (4, 60), (9, 1))])
+    label = [0] * 90 + [1] * 60 + [2]
+    rows = [(f"k{i}", c, float(a), float(b)) for i, (c, (a, b)) in enumerate(zip(label, x))]
+    df = spark.createDataFrame(rows + [("no", 0, None, 1.0), ("none", None, 1.0, 1.0)], "listing_id string, cluster int, a double, b double")
+    d, label = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2)), np.array(label)
+    want = []
+    for i, c in enumerate(label):
+        own = (label == c) & (np.arange(len(x)) != i)
+        a = d[i, own].mean() if own.any() else 0.0
+        b = min(d[i, label == o].mean() for o in {0, 1, 2} - {c})
+        want.append((b - a) / max(a, b) if own.any() else 0.0)
+    assert tuple(segment.silhouette_euclidean(df, ["a", "b"]).first()) == pytest.approx((np.mean(want), 0.0, 151))
+    value, error, scored = segment.silhouette_euclidean(df, ["a", "b"], rows=30).first()
+    assert 0 < error < 0.3 and abs(value - np.mean(want)) <= error and scored == 151
+    assert tuple(segment.silhouette_euclidean(df.where("a > 1000"), ["a", "b"]).first()) == (None, None, 0)
