@@ -13,6 +13,8 @@ SEED = 42
 #: Fingerprints in a tile, at least and at most: 0.5 to 2 MB.
 TILE = (1 << 16, 1 << 18)
 _BLOCK = 1 << 20
+#: Tasks that compare pairs of tiles, at most; each takes its pairs one after another.
+_TASKS = 1 << 15
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -111,31 +113,50 @@ def compare_tiles(left: np.ndarray, right: np.ndarray | None, radius: int) -> tu
     return everything[linked].view(np.int64), everything[parent[linked]].view(np.int64)
 
 
+def _blocks(counts: dict[int, int], size: int) -> list[tuple[int, int, int, int]]:
+    """``(lowest, highest, first tile, tiles)`` for ranges of population counts, in order: at most 65.
+
+    Neighbouring counts share a tile while it has room; a count too large for one tile has several.
+    """
+    blocks: list[tuple[int, int, int, int]] = []
+    held = 0
+    for n in sorted(counts):
+        have = counts[n]
+        if blocks and blocks[-1][3] == 1 and held + have <= size:
+            low, _, first, _ = blocks[-1]
+            blocks[-1], held = (low, n, first, 1), held + have
+        else:
+            first = blocks[-1][2] + blocks[-1][3] if blocks else 0
+            blocks, held = [*blocks, (n, n, first, max(1, -(-have // size)))], have
+    return blocks
+
+
 def link(bits: DataFrame, radius: int = 3, tile: tuple[int, int] = TILE) -> DataFrame:
     """Links ``(a, b)`` that connect all of the distinct ``bits`` within ``radius``, transitively.
 
     Tiles are ranges of the population count, classes too large for one tile are split by hash.
     Only pairs of tiles whose counts lie within the radius meet, one pair per task row. The driver
-    sees 65 counts. The comparisons still grow with the square of the distinct fingerprints.
+    sees 65 counts and pairs of ranges of them; Spark lists the pairs of tiles. The comparisons still grow with
+    the square of the distinct fingerprints.
     """
+    spark = bits.sparkSession
     counts = dict(bits.groupBy(F.bit_count("bits").alias("n")).count().collect())
     size = min(max(sum(counts.values()) // 128, tile[0]), tile[1])
-    spans, first, split, held = [], [0] * 65, [1] * 65, 0
-    for n in range(65):
-        have = counts.get(n, 0)
-        if spans and held + have <= size:
-            first[n], held, spans[-1] = len(spans) - 1, held + have, (spans[-1][0], n)
-        else:
-            first[n], split[n], held = len(spans), max(1, -(-have // size)), have
-            spans += [(n, n)] * split[n]
-    pairs = [(x, y) for x in range(len(spans)) for y in range(x, len(spans)) if spans[y][0] - spans[x][1] <= radius]
-    partners = [[f"{x}-{y}" for x, y in pairs if t in (x, y)] for t in range(len(spans))]
+    blocks = _blocks(counts, size)
+    first, split = [0] * 65, [1] * 65
+    for low, high, at, n in blocks:
+        first[low : high + 1], split[low : high + 1] = [at] * (high - low + 1), [n] * (high - low + 1)
+    near = [(p, q) for i, p in enumerate(blocks) for q in blocks[i:] if q[0] - p[1] <= radius]
+    n_pairs = sum(p[3] * (p[3] + 1) // 2 if p == q else p[3] * q[3] for p, q in near)
 
     lookup = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.bit_count("bits") + 1)
     own = lookup(first) + F.pmod(F.xxhash64("bits"), lookup(split)).cast("int")
     tiles = bits.withColumn("tile", own).groupBy("tile").agg(F.collect_list("bits").alias("bits"))
-    table = bits.sparkSession.createDataFrame(list(enumerate(partners)), "tile int, pairs array<string>")
-    meeting = tiles.join(table, "tile").select("tile", "bits", F.explode("pairs").alias("pair"))
+    ranges = spark.createDataFrame([(p[2], p[2] + p[3] - 1, q[2], q[2] + q[3] - 1) for p, q in near], "a int, b int, c int, d int")
+    rows = ranges.select(F.explode(F.sequence("a", "b")).alias("x"), "c", "d").repartition("x")
+    pairs = rows.select("x", F.explode(F.sequence(F.greatest("x", "c"), "d")).alias("y"))
+    sides = pairs.select(F.concat_ws("-", "x", "y").alias("pair"), F.explode(F.array_distinct(F.array("x", "y"))).alias("tile"))
+    meeting = sides.join(tiles, "tile").select("tile", "bits", "pair")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         sides = [np.asarray(x, np.int64).view(np.uint64) for x in rows.sort_values("tile")["bits"]]
@@ -146,7 +167,8 @@ def link(bits: DataFrame, radius: int = 3, tile: tuple[int, int] = TILE) -> Data
         return pd.DataFrame({"a": a, "b": b})
 
     # A fixed number of tasks: adaptive execution would merge pairs, which are few bytes but much work.
-    return meeting.repartition(min(len(pairs), 4096), "pair").groupBy("pair").applyInPandas(compare, "a bigint, b bigint")
+    tasks = max(1, min(n_pairs, _TASKS))
+    return meeting.repartition(tasks, "pair").groupBy("pair").applyInPandas(compare, "a bigint, b bigint")
 
 
 def clusters(
