@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import base as B
+from forecourt import schema as S
 from forecourt import vocabulary as V
 from forecourt.operators import anomaly as A
 from forecourt.operators import classify as K
@@ -26,6 +27,7 @@ from forecourt.operators import segment as U
 from forecourt.operators import smoothing
 from forecourt.operators.lookup import lookup_join
 from forecourt.operators.quantiles import median
+from forecourt.sources import sinks
 
 #: Sizes for tests of what the models feed; no query uses them.
 SMALL = {
@@ -194,6 +196,32 @@ def fixed_scores(e):
     return e.withColumn("anomaly_score", score).withColumn("is_anomaly", score < 0)
 
 
+def _kept_anomalies(fmt):
+    def query(e):
+        path = B.scratch(e.sparkSession)
+        sinks.write_anomalies(A.anomaly_table(fixed_scores(e)), path, fmt)
+        return sinks.read_anomalies(e.sparkSession, path, fmt)
+
+    return query
+
+
+def _kept_metrics(e):
+    """Metrics of two models, written as one table, appended to, and read back."""
+    path = B.scratch(e.sparkSession)
+    for mode, name, pred in (("overwrite", "by make", median_predictions(e)), ("append", "itself", median_predictions(e).withColumn(
+            "predicted", F.col("actual")).withColumn("predicted_log", F.col("actual_log")))):
+        wide = M.regression_metrics(pred).withColumns({"task": F.lit("regression"), "model": F.lit(name)})
+        sinks.write_metrics(wide.unpivot(["task", "model"], ["r2_log", "r2", "rmse", "mae", "mape"], "metric", "value"), path, mode)
+    return sinks.read_metrics(e.sparkSession, path)
+
+
+def _kept_model(e):
+    """Predictions of a model that was saved and loaded again: the mean of the train split's label."""
+    path = B.scratch(e.sparkSession)
+    sinks.save_model(L.train_regression(e, ["Lasso Regression"]).models["Lasso Regression"], path)
+    return L.predict_price(e, sinks.load_model(path)).select("listing_id", "predicted_price")
+
+
 def _forest(e):
     return A.fit_isolation_forest(e, contamination=None).nodes
 
@@ -319,6 +347,10 @@ QUERIES = {
     "score_isolation_forest": eng(_scored),
     "anomaly_summary": eng(lambda e: A.anomaly_summary(fixed_scores(e))),
     "top_anomalies": eng(lambda e: A.top_anomalies(fixed_scores(e)).select("rank", "listing_id", "price", "anomaly_score")),
+    "write_anomalies": eng(_kept_anomalies("parquet")),
+    "write_anomalies_csv": eng(_kept_anomalies("csv")),
+    "write_metrics": eng(_kept_metrics),
+    "save_model": eng(_kept_model),
     "local_regression_plain": eng(lambda e: smoothing.local_regression(e, "year", "price", iters=0), 4),
     "local_regression_many": eng(lambda e: smoothing.local_regression(e, "mileage_per_year", "price", iters=0), 4),
     "local_regression": eng(lambda e: smoothing.local_regression(e, "mileage_per_year", "price")),
@@ -381,6 +413,7 @@ t AS (SELECT listing_id, min(dist) FILTER (WHERE own) AS a, min(dist) FILTER (WH
  min(se) FILTER (WHERE own) AS sa, arg_min(se, dist) FILTER (WHERE NOT own) AS sb FROM e GROUP BY listing_id)
 SELECT round(avg(CASE WHEN greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette,
  round(avg(CASE WHEN greatest(a, b) > 0 THEN 2 * (sa + sb) / greatest(a, b) ELSE 0 END), 6) AS error, count(*) AS scored FROM t"""
+_KEPT = " SELECT " + ", ".join(f"round({f.name}, 6) AS {f.name}" if f.dataType.simpleString() == "double" else f.name for f in S.ANOMALIES) + " FROM s"
 _DIST = ", ".join(
     f"(price - {p}) ** 2 + (mileage - {m}) ** 2 AS d{i}" for i, (p, m) in enumerate(CENTERS))
 
@@ -569,6 +602,14 @@ ORACLES = {
         "round_even(100.0 * count(*) FILTER (WHERE is_anomaly) / count(*) * 10, 0) / 10 AS pct_anomalies FROM s"),
     "top_anomalies": B.over_engineered(_FIXED + " SELECT CAST(row_number() OVER (ORDER BY anomaly_score, listing_id) AS INT) AS rank, listing_id, "
         "round(price, 6) AS price, floor(round_even(anomaly_score * 10000, 0) / 10000 * 1e6 + 0.50037) / 1e6 AS anomaly_score FROM s WHERE is_anomaly ORDER BY anomaly_score, listing_id LIMIT 20"),
+    "write_anomalies": B.over_engineered(_FIXED + _KEPT),
+    "write_anomalies_csv": B.over_engineered(_FIXED + _KEPT),
+    "write_metrics": B.over_engineered(_PRED + f""", m AS (SELECT 'by make' AS model, {_METRICS} FROM pred),
+i AS (SELECT 'itself' AS model, {_METRICS} FROM (SELECT actual, actual_log, actual AS predicted, actual_log AS predicted_log FROM pred)),
+t AS (UNPIVOT (SELECT * FROM m UNION ALL SELECT * FROM i) ON r2_log, r2, rmse, mae, mape INTO NAME metric VALUE value)
+SELECT 'regression' AS task, model, metric, round(value, 6) AS value FROM t"""),
+    "save_model": B.over_engineered(f", guess AS (SELECT exp(avg(log_price)) - 1 AS g FROM eng WHERE {SHARE} < 0.8) "
+        "SELECT listing_id, round(g, 6) AS predicted_price FROM eng, guess"),
     "local_regression_plain": B.over_engineered(_lowess("year")),
     "local_regression_many": B.over_engineered(_lowess("mileage_per_year")),
     "linear_regression_moments": B.over_engineered(_SPLIT + " " + " UNION ALL ".join(

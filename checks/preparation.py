@@ -39,6 +39,12 @@ def _stored_predictions(spark, d):
     return B.rounded(sinks.read_predictions(spark, path))
 
 
+def _stored_layer(spark, d):
+    path = B.scratch(spark)
+    L.write_layer(B.engineered(spark, d), path)
+    return B.rounded(_listed(L.read_layer(spark, path)))
+
+
 def _listed(df):
     return df.withColumn("features_list", F.array_join("features_list", "|"))
 
@@ -75,6 +81,7 @@ QUERIES = {
     "feature_count": lambda s, d: E.feature_count(C.extract_features(B.raw(s, d))).select("listing_id", "feature_count"),
     "is_luxury": lambda s, d: E.is_luxury(B.raw(s, d), LUXURY_MAKES).select("listing_id", "is_luxury"),
     "engineer_listings": lambda s, d: B.rounded(_listed(B.engineered(s, d))),
+    "engineered_layer": _stored_layer,
 }
 
 _CLEAN_COLUMNS = _RAW.format("cylinders") + ", make_display, model_display, condition, array_to_string(features_list, '|') AS features_list"
@@ -120,3 +127,4 @@ ORACLES = {
         f"{_FLAG_NAMES}, feature_count, is_luxury FROM eng"
     ),
 }
+ORACLES["engineered_layer"] = ORACLES["engineer_listings"]

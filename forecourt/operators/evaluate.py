@@ -78,39 +78,41 @@ def confusion_matrix(pred: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def _per_class(pred: DataFrame) -> DataFrame:
-    counts = _class_counts(pred)
-    hit = F.col("actual") == F.col("predicted")
-    sides = counts.select(
-        F.col("actual").alias("label"), F.col("count").alias("support"), F.lit(0).alias("claimed"),
-        F.when(hit, F.col("count")).otherwise(0).alias("hits"),
-    ).unionByName(counts.select(
-        F.col("predicted").alias("label"), F.lit(0).alias("support"),
-        F.col("count").alias("claimed"), F.lit(0).alias("hits"),
-    ))
+    counts, zero = F.col("count"), F.lit(0).cast("bigint")
+    hit = F.when(F.col("actual") == F.col("predicted"), counts).otherwise(zero)
+    side = lambda label, support, claimed, hits: F.struct(
+        F.col(label).alias("label"), support.alias("support"), claimed.alias("claimed"), hits.alias("hits"))
+    sides = _class_counts(pred).select(
+        F.inline(F.array(side("actual", counts, zero, hit), side("predicted", zero, counts, zero))))
     totals = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("support", "claimed", "hits")])
-    zero = F.lit(0.0)
+    none = F.lit(0.0)
     scored = totals.select(
         "label", "support", "hits",
-        F.coalesce(ratio(F.col("hits"), F.col("claimed")), zero).alias("precision"),
-        F.coalesce(ratio(F.col("hits"), F.col("support")), zero).alias("recall"),
+        F.coalesce(ratio(F.col("hits"), F.col("claimed")), none).alias("precision"),
+        F.coalesce(ratio(F.col("hits"), F.col("support")), none).alias("recall"),
     )
     p, r = F.col("precision"), F.col("recall")
-    return scored.withColumn("f1", F.coalesce(F.try_divide(2 * p * r, p + r), zero))
+    return scored.withColumn("f1", F.coalesce(F.try_divide(2 * p * r, p + r), none))
 
 
 def classification_report(pred: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support per class, then their plain and weighted means."""
-    per_class = _per_class(pred)
+    """Precision, recall, F1 and support per class, then their plain and weighted means.
+
+    ``pred`` is read once: a class counts for its own line and, with their weights, for both means.
+    """
     names = ("precision", "recall", "f1")
-    support = F.sum("support").alias("support")
-    weighted = [F.try_divide(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in names]
-    macro = per_class.agg(*[F.avg(c).alias(c) for c in names], support)
-    weight = per_class.agg(*weighted, support)
-    columns = ["label", *names, "support"]
+    line = lambda kind, label, weight: F.struct(
+        F.lit(kind).alias("kind"), label.alias("label"), weight.cast("double").alias("weight"))
+    lines = _per_class(pred).withColumn("_line", F.explode(F.array(
+        line(0, F.col("label"), F.lit(1)), line(1, F.lit("macro avg"), F.lit(1)),
+        line(2, F.lit("weighted avg"), F.col("support")),
+    )))
+    weight = F.col("_line.weight")
     return (
-        per_class.select(*columns)
-        .unionByName(macro.withColumn("label", F.lit("macro avg")).select(*columns))
-        .unionByName(weight.withColumn("label", F.lit("weighted avg")).select(*columns))
+        lines.groupBy("_line.kind", "_line.label")
+        .agg(*[F.try_divide(F.sum(weight * F.col(c)), F.sum(weight)).alias(c) for c in names],
+             F.sum("support").alias("support"))
+        .select("label", *names, "support")
     )
 
 

@@ -129,16 +129,14 @@ def stratified_split(df: DataFrame, by: str, test_share: float = 0.2, seed: int
     """As :func:`split` with the shares held in every class to within one row.
 
     The border in each class is the exact quantile of its hash values, so that no class is
-    sorted or gathered.
+    sorted or gathered. The marked rows are written once to the shared folder; both sides read them from there.
+    Rows without a class are on neither side.
     """
     rows = df.withColumn("_share", hash_share(seed, key))
     borders = quantiles(rows, "_share", {"_border": 1 - test_share}, by)
     marked = lookup_join(rows, borders, by, "inner")
-    drop = ("_share", "_border")
-    return (
-        marked.where(F.col("_share") <= F.col("_border")).drop(*drop),
-        marked.where(F.col("_share") > F.col("_border")).drop(*drop),
-    )
+    sides = stored(marked.withColumn("_is_test", F.col("_share") > F.col("_border")).drop("_share", "_border"), "split")
+    return sides.where(~F.col("_is_test")).drop("_is_test"), sides.where("_is_test").drop("_is_test")
 
 
 def fold(k: int, seed: int = 7, key: str = "listing_id") -> Column:
