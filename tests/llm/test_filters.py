@@ -266,36 +266,94 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in scored.limit(500).collect())
 
 
-def test_toxicity_of_edge_rows(edge, nothing, labels):
+def labelled(spark, toxic, ordinary):
+    return spark.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in ordinary], "text string, toxic int")
+
+
+@pytest.fixture(scope="module")
+def toxic_model(spark):
     toxic = [f"some words x{k} you utter blockhead said n{k * 7} number" for k in range(60)]
     toxic = [t.replace("utter", f"utter{k % 9}").replace("said", f"said{k % 7}") for k, t in enumerate(toxic)]
-    plain = [f"some words x{k} you utter{k % 9} what a day said{k % 7} n{k * 7} number" for k in range(160)]
-    model = toxicity.fit(toxic, plain)
-    scored = {(r["doc_id"], r["predicted"]) for r in toxicity.score_documents(edge, model).collect()}
-    assert len(scored) == len({i for i, _ in scored})  # rows of one id that lack the word agree
+    ordinary = [f"some words x{k} you utter{k % 9} what a day said{k % 7} n{k * 7} number" for k in range(160)]
+    return toxicity.fit(labelled(spark, toxic, ordinary))
+
+
+def called(model, text):
+    gains = toxicity.Distances(model.ordinary, model.toxic).gains(text, model.discount)
+    return toxicity.score(gains, model.thresholds)[0] >= 0.5
+
+
+def test_toxicity_of_edge_rows(spark, edge, nothing, labels, toxic_model):
+    found = toxicity.score_documents(edge, toxic_model).collect()
+    scored = {(r["doc_id"], r["predicted"]) for r in found}
+    assert len(scored) == len({i for i, _ in scored}) and len(found) == edge.count()  # rows of one id that lack the word agree
     assert not any(p for i, p in scored if i in (1, 2, 3, None))
-    gains = toxicity.Distances(model)
-    assert toxicity.score(gains.of("What a BLOCKHEAD!"), model.threshold) >= 0.5 > toxicity.score(gains.of("what a day"), model.threshold)
-    assert toxicity.fit([], plain) is None and toxicity.fit(toxic, []) is None
+    assert called(toxic_model, "What a BLOCKHEAD!") and not called(toxic_model, "what a day")
+    one_kind = spark.createDataFrame([("some text", 1)] * 9, "text string, toxic int")
+    assert toxicity.fit(one_kind) is None and toxicity.fit(one_kind.where("false")) is None
     none = toxicity.classify(edge, labels.where("false")).collect()
     assert {(r["score"], r["predicted"]) for r in none} == {(0.0, 0)} and len(none) == edge.count()
     assert toxicity.classify(nothing, labels).collect() == []
 
 
-def test_a_text_over_the_bound_does_not_shut_out_others(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 20_000)
-    toxic = [(k, f"you utter{k % 9} blockhead said{k % 7} n{k * 7}") for k in range(1, 61)]
-    plain = [(k, f"some words x{k} é you what a day said{k % 7}") for k in range(100, 200)]
+def plain_toxicity(model, text):
+    """Score of a text from one compression of every window by each dictionary."""
+    def size(content, window):
+        frame = toxicity._FRAME
+        return len(toxicity._compressor(content).compress(window + frame))
+
+    def joins(content, a, b):
+        return (b" " + a)[-2:] + b" " + (b + b" ")[:2] in content
+
+    stripped = [w.strip(b".,;:!?\"'()[]") for w in (text or "").lower().encode().split()]
+    parts = [w for w in stripped if w]
+    margins, hits = [], 0
+    pairs = [(a, b) for a, b in zip(parts, parts[1:]) if joins(model.toxic, a, b)]
+    for threshold, some in zip(model.thresholds, ([b" %b " % w for w in parts], [b" %b %b " % p for p in pairs])):
+        gains = []
+        for window in some:
+            saved = size(model.ordinary, window) - size(model.toxic, window)
+            gains.append(saved - model.discount * len(window) if saved > 0 else 0)
+        margins.append(max([0, *gains]) - threshold)
+        hits += sum(g >= threshold for g in gains)
+    return 1 / (1 + math.exp(-(max(margins) + 0.1)) / math.sqrt(1 + hits))
+
+
+def test_toxicity_scores_equal_plain_ones(spark, documents, toxic_model):
+    chosen = documents.where("doc_id < 12").select("doc_id", "text").union(
+        spark.createDataFrame([(-1, "you blockhead, blockhead of a day"), (-2, "one"), (-3, "..."), (-4, None)], "doc_id bigint, text string")
+    )
+    texts = {r["doc_id"]: r["text"] for r in chosen.collect()}
+    for r in toxicity.score_documents(chosen, toxic_model).collect():
+        assert r["score"] == pytest.approx(plain_toxicity(toxic_model, texts[r["doc_id"]]), rel=1e-9)
+        assert r["predicted"] == (r["score"] >= 0.5)
+
+
+def test_toxic_phrases_of_ordinary_words(spark):
+    rng = random.Random(5)
+    pool = [f"{a}{b}{c}" for a in ("ba", "ke", "lo", "mi", "tu") for b in ("rand", "sten", "goll", "pim") for c in ("", "er", "ing", "ous")]
+
+    def text(phrase):
+        body = rng.choices(pool, k=24)
+        return " ".join([*body[:12], *phrase, *body[12:]])
+
+    # Each word of the phrase is as common in ordinary texts as any other; only their order marks toxic ones.
+    phrase = ["barand", "kesten", "logoll"]
+    made = lambda n: ([text(phrase) for _ in range(n)], [text(rng.choices(pool, k=3)) for _ in range(2 * n)])
+    model = toxicity.fit(labelled(spark, *made(240)))
+    toxic, ordinary = made(80)
+    assert np.mean([called(model, t) for t in toxic]) > 0.8
+    assert np.mean([called(model, t) for t in ordinary]) < 0.1
+
+
+def test_labelled_texts_are_whole_and_rows_bounded(spark):
     long = " ".join(f"long{k}" for k in range(30_000))
-    docs = spark.createDataFrame([(0, long), *toxic, (99, "日本 " * 9000), *plain], "doc_id int, text string")
-    labels = docs.select("doc_id", (F.col("doc_id") < 99).cast("int").alias("toxic"))
-    got_toxic, got_plain = toxicity.labelled_sample(docs, labels, "doc_id", "text")
-    assert got_toxic[1:] == [t for _, t in toxic] and got_plain[1:] == [t for _, t in plain]
-    for texts, whole in ((got_toxic, long.split()), (got_plain, ["日本"])):
-        assert sum(len(t.encode()) for t in texts) <= 10_000
-        assert len(texts[0].split()) > 100 and set(texts[0].split()) <= set(whole)
-    scored = toxicity.classify(docs, labels).where("doc_id between 1 and 60").collect()
-    assert np.mean([r["predicted"] for r in scored]) > 0.9
+    docs = spark.createDataFrame([(0, long), (0, "z" + long), *((k, f"text {k}") for k in range(1, 4000)), (4000, " "), (None, "x")], "doc_id int, text string")
+    labels = docs.where("doc_id is not null").select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic")).distinct()
+    every = toxicity.labelled_rows(docs, labels, toxic_rows=5000, ordinary_rows=5000).collect()
+    assert len(every) == 4000 and long in {r["text"] for r in every}
+    few = toxicity.labelled_rows(docs, labels, toxic_rows=7, ordinary_rows=20).groupBy("toxic").count().collect()
+    assert {r["toxic"]: r["count"] for r in few} == {1: 7, 0: 20}
 
 
 @pytest.mark.parametrize("n, similarity, want", [(10, 0.8, 2), (14, 0.8, 2), (15, 0.8, 3), (4, 0.8, 0), (20, 0.9, 2)])
