@@ -17,7 +17,7 @@ from forecourt import vocabulary as V
 from forecourt.functions.numeric import known, percent, round_half_even
 from forecourt.operators.distribution import bottom_k
 from forecourt.operators.quantiles import quantiles
-from forecourt.session import checkpoint
+from forecourt.session import checkpoint, discard, stored
 
 FEATURES = list(V.SEGMENT_FEATURES)
 _EULER = 0.5772156649015329
@@ -145,8 +145,9 @@ def fit_isolation_forest(df: DataFrame, trees: int = TREES, sample: int = SAMPLE
     )
     forest = IsolationForest(nodes, list(features), sample)
     if contamination is not None:
-        scores = checkpoint(raw_scores(complete, forest).select("raw_score"))
+        scores = stored(raw_scores(complete, forest).select("raw_score"), "raw-scores")
         forest.offset = quantiles(scores, "raw_score", {"q": contamination}).first()[0]
+        discard(scores)
     return forest
 
 
