@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import checks.base as B
 from checks import scoring
-from forecourt.operators import anomaly, ensembles, lloyd, regress, segment
+from forecourt import vocabulary as V
+from forecourt.operators import anomaly, ensembles, lloyd, prep, regress, segment
 from forecourt.sources import tables
 
 
@@ -91,3 +92,27 @@ def test_scores_of_the_offset_are_stored_as_columns(spark, monkeypatch):
     df = spark.range(400).select(F.col("id").cast("string").alias("listing_id"), (F.col("id") % 17).cast("double").alias("a"))
     forest = anomaly.fit_isolation_forest(df, trees=5, sample=32, features=["a"])
     assert written == [["raw_score"]] and forest.offset < 0
+
+
+def test_price_models_store_plain_features_and_no_key(engineered, monkeypatch):
+    kept = {}
+    store = regress.stored
+
+    def watched(df, name):
+        kept[name] = df.dtypes
+        return store(df, name)
+
+    monkeypatch.setattr(regress, "stored", watched)
+    regress.train_regression(engineered, ["Linear Regression"])
+    kinds = dict(kept["vectors"])
+    assert kinds["features"] == "array<double>" and "string" not in kinds.values()
+
+
+def test_features_as_an_array_are_those_of_the_vector(spark, engineered):
+    pre = prep.fit_preprocessor(engineered)
+    vectors = {r.listing_id: r.features.toArray().tolist() for r in pre.transform(engineered).select("listing_id", "features").collect()}
+    arrays = prep.feature_table(pre, engineered.select("listing_id", *sum(V.feature_columns(), [])))
+    assert {r.listing_id: r.features for r in arrays.select("listing_id", "features").collect()} == vectors
+    for missing in (F.lit(None).cast("double"), F.lit(float("nan"))):
+        with pytest.raises(Exception, match="null or NaN"):
+            prep.feature_table(pre, engineered.limit(1).withColumn("mileage_per_year", missing)).select("features").collect()
