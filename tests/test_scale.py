@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import checks.base as B
 from checks import scoring
 from forecourt import vocabulary as V
-from forecourt.operators import anomaly, ensembles, lloyd, prep, regress, segment
+from forecourt.operators import anomaly, ensembles, lloyd, prep, regress, segment, trees
 from forecourt.sources import tables
 
 
@@ -116,3 +116,17 @@ def test_features_as_an_array_are_those_of_the_vector(spark, engineered):
     for missing in (F.lit(None).cast("double"), F.lit(float("nan"))):
         with pytest.raises(Exception, match="null or NaN"):
             prep.feature_table(pre, engineered.limit(1).withColumn("mileage_per_year", missing)).select("features").collect()
+
+
+def test_blocks_are_read_from_arrow_one_at_a_time(spark):
+    rows = spark.createDataFrame([([float(i % 5), float(i % 3)], float(i % 5 > 2)) for i in range(300)], "features array<double>, y double")
+    layout = trees.fit_layout(rows, 2)
+    matrix = trees.build_matrix(rows.repartition(2), layout, "y", F.col("y"), F.lit(-1), F.lit(True))
+    batches = matrix.toArrow().to_batches()
+    blocks = list(trees.Block.each(batches, 2))
+    assert sum(b.n for b in blocks) == 300 and sum(b.y.sum() for b in blocks) == 120
+    base = np.array([0.5])
+    once = ensembles._advanced(matrix, 2, [], base)
+    again = ensembles._advanced(once, 2, [], base)
+    assert [r.margin for r in again.collect()] == [np.full(r.n, 0.5).tobytes() for r in again.collect()]
+    assert "InPandas" not in again._jdf.queryExecution().executedPlan().toString()
