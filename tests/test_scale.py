@@ -130,3 +130,31 @@ def test_blocks_are_read_from_arrow_one_at_a_time(spark):
     again = ensembles._advanced(once, 2, [], base)
     assert [r.margin for r in again.collect()] == [np.full(r.n, 0.5).tobytes() for r in again.collect()]
     assert "InPandas" not in again._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nodes_of_few_rows_are_split_as_by_histograms(monkeypatch):
+    """A forest of classes brings class numbers, not a column a class; the drawn features of small nodes are sorted."""
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, [[4], [9], [1], [30], [2]], (5, 3000)).astype(np.uint8)
+    label = (bins[0] + (bins[3] > 11) + rng.integers(0, 2, 3000)) % 4
+    w = rng.integers(1, 4, 3000).astype(float)
+    layout = trees.Layout(tuple(tuple(map(float, range(n - 1))) for n in (4, 9, 1, 30, 2)))
+    allowed = np.array([True, True, True, True, False])
+    growth = trees.Growth(12, min_split=5, node_features=2, classes=4, labelled=True)
+    plain = trees.Growth(12, min_split=5, node_features=2, classes=4)
+    one_hot = [None, w, *(w * (label == c) for c in range(4))]
+    want = trees.grow_local(bins, one_hot, plain, layout, allowed, np.random.default_rng(5)).packed()
+    for few in (0, 40, 5000):
+        monkeypatch.setattr(trees, "FEW", few)
+        found = trees.grow_local(bins, [None, w, label], growth, layout, allowed, np.random.default_rng(5))
+        assert found.packed() == want and len(found.feature) > 200
+
+
+def test_a_forest_of_classes_shuffles_class_numbers(spark):
+    rows = spark.createDataFrame([([float(i % 5), float(i % 3)], float(i % 5 // 2)) for i in range(300)], "features array<double>, y double")
+    layout = trees.fit_layout(rows, 2)
+    matrix = trees.build_matrix(rows, layout, "y", F.col("y"), F.lit(-1), F.lit(True))
+    spec = ensembles.Ensemble("forest", 1, trees.Growth(3), "y", bootstrap=False, classes=3)
+    block = next(trees.Block.each(matrix.toArrow().to_batches(), 2))
+    _, mine, stats = next(ensembles._forest_signal(spec, [-1], [0])(block))
+    assert stats[0] is None and (stats[1] == 1).all() and stats[2].tolist() == block.y[mine].astype(int).tolist() and len(stats) == 3
