@@ -158,3 +158,20 @@ def test_a_forest_of_classes_shuffles_class_numbers(spark):
     block = next(trees.Block.each(matrix.toArrow().to_batches(), 2))
     _, mine, stats = next(ensembles._forest_signal(spec, [-1], [0])(block))
     assert stats[0] is None and (stats[1] == 1).all() and stats[2].tolist() == block.y[mine].astype(int).tolist() and len(stats) == 3
+
+
+def test_margins_are_made_from_those_of_the_step_before(spark, monkeypatch):
+    """No scan adds up the trees of earlier steps again, and nothing stays cached."""
+    added = []
+    advance = ensembles._advanced
+    monkeypatch.setattr(ensembles, "_advanced", lambda matrix, features, steps, base: added.append(len(steps)) or advance(matrix, features, steps, base))
+    rows = spark.createDataFrame([(Vectors.dense([float(i % 7), float(i % 4)]), float(i % 7 * (i % 4))) for i in range(300)], ["features", "log_price"])
+    found = {}
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for steps in (1, 3, 10):
+        monkeypatch.setattr(ensembles, "STEPS", steps)
+        model = regress.gradient_boosting(maxIter=5, maxDepth=2).fit(rows)
+        found[steps] = [r["prediction"] for r in model.transform(rows).orderBy("features").collect()]
+    assert set(added) == {1} and len(added) == 15
+    assert found[1] == found[3] == found[10] and len(set(found[1])) > 5
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
