@@ -365,3 +365,23 @@ def test_euclidean_silhouette_by_pairs(spark):
     value, error, scored = segment.silhouette_euclidean(df, ["a", "b"], rows=30).first()
     assert 0 < error < 0.3 and abs(value - np.mean(want)) <= error and scored == 151
     assert tuple(segment.silhouette_euclidean(df.where("a > 1000"), ["a", "b"]).first()) == (None, None, 0)
+
+
+def test_euclidean_silhouette_meets_every_pair_once(spark):
+    """Larger clusters than any sample, in many blocks: the mean over all pairs, without an error."""
+    rng = np.random.default_rng(11)
+    label = rng.choice([0, 0, 0, 1, 1, 2], 2600)
+    x = (rng.normal(size=(2600, 3)) * [1, 2, 0.5] + label[:, None] * [1.5, 0, 1]).round(1) + 1000
+    df = spark.createDataFrame([(f"k{i % 2500}", int(c), *map(float, p)) for i, (c, p) in enumerate(zip(label, x))],
+                               "listing_id string, cluster int, a double, b double, c double").repartition(5)
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+    sums, n = np.stack([d[:, label == c].sum(axis=1) for c in range(3)], axis=1), np.bincount(label)
+    a = sums[np.arange(2600), label] / (n[label] - 1)
+    b = np.where(np.arange(3) == label[:, None], np.inf, sums / n).min(axis=1)
+    found = segment.silhouette_euclidean(df, ["a", "b", "c"]).first()
+    assert tuple(found) == pytest.approx((((b - a) / np.maximum(a, b)).mean(), 0.0, 2600), abs=1e-10)
+    one, two = segment._distance_sums(x[:900], x[900:], np.eye(3)[label[:900]], np.eye(3)[label[900:]])
+    assert one == pytest.approx(np.stack([d[:900, 900:][:, label[900:] == c].sum(axis=1) for c in range(3)], axis=1))
+    assert two == pytest.approx(np.stack([d[900:, :900][:, label[:900] == c].sum(axis=1) for c in range(3)], axis=1))
+    same = df.select("listing_id", "cluster", *[F.lit(7.5).alias(c) for c in "abc"])
+    assert tuple(segment.silhouette_euclidean(same, ["a", "b", "c"]).first()) == (0.0, 0.0, 2600)
