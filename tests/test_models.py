@@ -348,6 +348,27 @@ def test_codes_over_many_partitions(spark):
     assert all(r.c_code == (-1.0 if r.c is None else order.index(r.c)) and r.n_code == r.n for r in found)
 
 
+def test_codes_of_many_values_are_ranked_in_place(spark, monkeypatch):
+    """A frequent value over many parts, missing values and text beyond ASCII; no table of values is made or joined."""
+    words = [f"{c}{i}" for i in range(150) for c in "zaÄé"] + ["m"] * 3000 + [None] * 1500 + ["", "A"] * 3
+    df = spark.createDataFrame([(w, i, i % 3) for i, w in enumerate(words)], "c string, i int, n int").repartition(7)
+    monkeypatch.setattr(prep, "category_codes", lambda *args: pytest.fail("a table of values"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        found = prep.ordinal_encode(df, ["c", "n"], few=2)
+        order = {w: float(i) for i, w in enumerate(sorted({w for w in words if w is not None}, key=lambda w: w.encode()))}
+        assert found.columns == ["c", "i", "n", "c_code", "n_code"]
+        rows = found.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(r.i for r in rows) == list(range(len(words)))
+    assert all(r.c == words[r.i] and r.c_code == order.get(r.c, -1.0) and r.n_code == r.n for r in rows)
+    empty = prep.ordinal_encode(df.where("i < 0"), ["c"], few=-1)
+    assert empty.columns == ["c", "i", "n", "c_code"] and not empty.collect()
+
+
 def test_euclidean_silhouette_by_pairs(spark):
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(m, 1.0, (n, 2)) for m, n in ((0, 90), (4, 60), (9, 1))])
