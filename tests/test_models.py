@@ -339,6 +339,30 @@ def test_lloyd_runs_side_by_side_as_alone(spark):
     assert quality[3, 0] == pytest.approx(segment.silhouette(placed, ["a", "b"]).first()[0])
 
 
+def test_cells_owned_by_a_center_are_added_whole(spark, monkeypatch):
+    """Sums over sorted blocks equal those over all rows, ties and one cell of equal rows included, and most rows are not compared."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(6000, 3)) * [1, 3, 0.2], rng.integers(-2, 3, (2000, 3)), np.full((300, 3), 0.5)])
+    place = lloyd._by_place(x)
+    assert sorted(map(tuple, place)) == sorted(map(tuple, x))
+    df = spark.createDataFrame([(p.tolist(),) for p in x], "x array<double>").coalesce(2)
+    blocks = lloyd.packed(df, near=True)
+    centers = {k: np.array([[0.0, 0, 0], [1, 0, 0], [0, -2, 1], [-1, 4, 0], [0.5, 0.5, 0.5], [40, 0, 0]])[:k] for k in (1, 2, 4, 6)}
+    found = lloyd.cluster_sums(blocks, centers)
+    for k, c in centers.items():
+        d = ((x[:, None] - c) ** 2).sum(axis=2)
+        label = d.argmin(axis=1)
+        mark = np.eye(k)[label]
+        want = np.column_stack([mark.sum(axis=0), mark.T @ x, mark.T @ (x * x).sum(axis=1), mark.T @ d.min(axis=1)])
+        assert found[k] == pytest.approx(want, rel=1e-9, abs=1e-6)
+        assert lloyd.cluster_sums(df, {k: c}, False)[k] == pytest.approx(want[:, :-2], rel=1e-9, abs=1e-6)
+    compared, nearest = [], lloyd._nearest
+    monkeypatch.setattr(lloyd, "_nearest", lambda ones, lifted: compared.append(len(ones)) or nearest(ones, lifted))
+    monkeypatch.setattr(lloyd, "_added", lambda points, size, per_block, rows: per_block(place))
+    lloyd.cluster_sums(df, {4: centers[4]}, False)
+    assert sum(compared) < 0.6 * len(x)
+
+
 def test_codes_over_many_partitions(spark):
     words = [f"{c}{i}" for i in range(300) for c in "zaÄé"] + ["", "A", "a"] * 5 + [None]
     df = spark.createDataFrame([(w, len(w or "") % 3) for w in words], "c string, n int").repartition(7)
