@@ -252,6 +252,25 @@ def test_trees_split_by_histograms_equal_trees_grown_in_one_group(spark, kind):
             assert sum(p) == pytest.approx(1) and min(p) >= 0
 
 
+@pytest.mark.parametrize("kind", ["boosting", "classes", "class forest"])
+def test_the_driver_splits_nodes_as_spark_does(spark, monkeypatch, kind):
+    """Few histograms are added up by the driver, without a table for each level; many by Spark. Trees are the same."""
+    spec = {
+        "boosting": regress.gradient_boosting("y", maxIter=3, maxDepth=4),
+        "classes": replace(classify.estimator(classify.BOOSTING, {"maxIter": 2, "maxDepth": 3}), classes=3),
+        "class forest": replace(classify.estimator(classify.FOREST, {"numTrees": 3, "maxDepth": 5}), classes=3),
+    }[kind]
+    rows, levels, level = _tree_rows(spark), [], trees._level
+    monkeypatch.setattr(trees, "_level", lambda *args: levels.append(1) or level(*args))
+    shapes = []
+    for sent in (trees.SENT, 0):
+        monkeypatch.setattr(trees, "SENT", sent)
+        model = replace(spec, local_rows=100).fit(rows)
+        shapes.append(sorted((r["tree"], r["class"], bytes(r["feature"]), bytes(r["cut"]), bytes(r["left"])) for r in model.trees.collect()))
+        assert bool(levels) == (sent == 0)
+    assert shapes[0] == shapes[1]
+
+
 def test_folds_learn_from_other_rows_only(spark):
     """A fold's R² is that of a model fitted on the other rows, with the same bins and draws."""
     rows = _tree_rows(spark)
